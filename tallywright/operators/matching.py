@@ -50,41 +50,36 @@ def _overlap_needed(longer: Column, shorter: Column, c: float) -> Column:
     return F.greatest(F.ceil(F.lit(c) * longer * shorter / (longer + shorter) - F.lit(_EPS)), F.lit(1)).cast("int")
 
 
-def _keys(side: DataFrame, short_role: int, long_role: int, classes: list[float]) -> DataFrame:
-    """Join keys of each text in both roles (the shorter or the longer one of a pair)."""
+def _key(cls: int, first: Column, role: int, band: Column, token: Column) -> Column:
+    return F.struct(
+        F.lit(cls).alias("cls"),
+        first.alias("first"),
+        F.lit(role).alias("role"),
+        band.cast("int").alias("band"),
+        token.alias("token"),
+    )
+
+
+def _class_keys(cls: int, c: float, short_role: int, long_role: int) -> Column:
+    """Join keys of a text within one class, as the shorter and as the longer one of a pair."""
     n = F.col("len")
-    parts = []
-    for cls, c in enumerate(classes):
-        first = F.lit("") if cls == 0 else F.substring("text", 1, 1)
-        lead = n - _overlap_needed(n, n, c) + 1
-        as_short = F.transform(
-            F.slice("toks", F.lit(1), lead),
-            lambda t: F.struct(
-                F.lit(cls).alias("cls"),
-                first.alias("first"),
-                F.lit(short_role).alias("role"),
-                F.floor(n / BAND).cast("int").alias("band"),
-                t.alias("token"),
-            ),
-        )
-        least = F.greatest(F.ceil(F.lit(c - 1.0) * n - F.lit(_EPS)), F.lit(1)).cast("int")
-
-        def band_keys(k: Column, c: float = c, first: Column = first, least: Column = least, cls: int = cls) -> Column:
-            shortest = F.greatest(k * BAND, least)
-            lead = n - _overlap_needed(n, shortest, c) + 1
-            return F.transform(
-                F.slice("toks", F.lit(1), lead),
-                lambda t: F.struct(
-                    F.lit(cls).alias("cls"),
-                    first.alias("first"),
-                    F.lit(long_role).alias("role"),
-                    k.cast("int").alias("band"),
-                    t.alias("token"),
-                ),
-            )
-
-        bands = F.sequence(F.floor(least / BAND).cast("int"), F.floor(n / BAND).cast("int"))
-        parts += [as_short, F.flatten(F.transform(bands, band_keys))]
+    first = F.lit("") if cls == 0 else F.substring("text", 1, 1)
+
+    def leading(shortest: Column) -> Column:
+        """The rarest characters, one of which any partner at least this long must share."""
+        return F.slice("toks", F.lit(1), n - _overlap_needed(n, shortest, c) + 1)
+
+    def in_band(k: Column) -> Column:
+        return F.transform(leading(F.greatest(k * BAND, least)), lambda t: _key(cls, first, long_role, k, t))
+
+    least = F.greatest(F.ceil(F.lit(c - 1.0) * n - F.lit(_EPS)), F.lit(1)).cast("int")
+    bands = F.sequence(F.floor(least / BAND).cast("int"), F.floor(n / BAND).cast("int"))
+    as_short = F.transform(leading(n), lambda t: _key(cls, first, short_role, F.floor(n / BAND), t))
+    return F.concat(as_short, F.flatten(F.transform(bands, in_band)))
+
+
+def _keys(side: DataFrame, short_role: int, long_role: int, classes: list[float]) -> DataFrame:
+    parts = [_class_keys(cls, c, short_role, long_role) for cls, c in enumerate(classes)]
     return side.select("text", "len", "toks", F.inline(F.concat(*parts)))
 
 
