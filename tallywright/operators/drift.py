@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.exprs import pct_change
-from ..runtime import rows_of, small_side
+from ..runtime import compute_once, durable, rows_of, small_side
 
 STATUSES = ("added", "deleted", "constant", "changed")
 UNKNOWN = "Unk"
@@ -152,7 +152,8 @@ def field_changes(
                 cells.append(cell(raw, a, b, False, differs & ~a.eqNullSafe(b)))
         else:
             cells.append(cell(f, before, after, True, differs))
-    return changed.select(key, F.inline(F.array_compact(F.array(*cells))))
+    listed = compute_once(changed, key, F.array_compact(F.array(*cells)).alias("cells"))
+    return listed.select(key, F.inline("cells"))
 
 
 def _labelled(changes: DataFrame, dictionary: DataFrame, category: str) -> DataFrame:
@@ -199,6 +200,7 @@ def drift_fields(
 
     ``dictionary`` has ``title, field, value, value_name, category`` rows (see ``flatten_dictionary``).
     """
+    dictionary = durable(dictionary)  # read several times below
     fields = displayed_fields(dictionary, [c for c in new.columns if c != key], category)
     changes = field_changes(old, new, key, fields, expand)
     return _labelled(changes, dictionary, category).select(key, "field_label", "old_label", "new_label")
@@ -216,6 +218,7 @@ def transition_counts(
 
     Codes are counted first, so labels are looked up once per distinct transition, not per record.
     """
+    dictionary = durable(dictionary)  # read several times below
     fields = displayed_fields(dictionary, [c for c in new.columns if c != key], category)
     changes = field_changes(old, new, key, fields, expand)
     counted = changes.groupBy("field", "old_code", "new_code", "coded").agg(F.count(F.lit(1)).alias("n"))

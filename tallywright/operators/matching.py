@@ -14,22 +14,26 @@ that character.
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import add, and_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.exprs import ascii_only, squish
 from ..functions.similarity import BOOST_ABOVE, PREFIX_MAX, PREFIX_SCALE, jaro_winkler_col
-from ..runtime import durable
+from ..runtime import compute_once, durable
 
 NO_NAME = "Not Defined"  # fixed value: name of a handle without one
 
 #: Lengths of the shorter text that share a join key.
 BAND = 4
-#: Characters whose order is taken from the data; rarer ones come first, in text order.
-ORDERED_TOKENS = 256
+#: The most frequent characters get a bit each, the rarest of them the lowest; all others stay text.
+WORD_BITS = 62
+WORDS = 4
 #: A character held by more texts than this is split over several join keys.
-ROWS_PER_SPLIT = 100_000
-MAX_SPLITS = 64
+ROWS_PER_SPLIT = 4096
+MAX_SPLITS = 256
 _EPS = 1e-9
 
 
@@ -56,7 +60,8 @@ def _key(cls: int, first: Column, role: int, band: Column, token: Column) -> Col
         first.alias("first"),
         F.lit(role).alias("role"),
         band.cast("int").alias("band"),
-        token.alias("token"),
+        token.getField("p").alias("place"),
+        token.getField("rare").alias("rare"),
     )
 
 
@@ -80,14 +85,30 @@ def _class_keys(cls: int, c: float, short_role: int, long_role: int) -> Column:
 
 def _keys(side: DataFrame, short_role: int, long_role: int, classes: list[float]) -> DataFrame:
     parts = [_class_keys(cls, c, short_role, long_role) for cls, c in enumerate(classes)]
-    return side.select("text", "len", "toks", F.inline(F.concat(*parts)))
+    words = [f"w{i}" for i in range(WORDS)]
+    keyed = compute_once(side, "text", "len", *words, "rares", F.concat(*parts).alias("keys"))
+    return keyed.select("text", "len", *words, "rares", F.inline("keys"))
+
+
+def _word(i: int) -> Column:
+    """Bits of the frequent characters of a text that fall into word ``i``."""
+    lo, hi = i * WORD_BITS + 1, (i + 1) * WORD_BITS
+    own = F.filter("toks", lambda t: t.getField("p").between(lo, hi))
+    return F.aggregate(own, F.lit(0).cast("bigint"), lambda acc, t: acc.bitwiseOR(F.call_function("shiftleft", F.lit(1).cast("bigint"), t.getField("p") - lo)))
+
 
+def _rarer_in_word(i: int) -> Column:
+    """Bits of word ``i`` that stand before the join character."""
+    below = F.greatest(F.least(F.col("place") - 1 - i * WORD_BITS, F.lit(WORD_BITS)), F.lit(0))
+    return F.call_function("shiftleft", F.lit(1).cast("bigint"), below) - 1
 
-def _common_prefix(a: Column, b: Column) -> Column:
-    out = F.lit(0)
+
+def _overlap_factor(a: Column, b: Column, threshold: float) -> Column:
+    """``c`` of the overlap a pair needs, by the length of its common prefix."""
+    out = F.lit(3.0 * least_jaro(threshold, 0) - 1.0)
     for i in range(1, PREFIX_MAX + 1):
         same = (F.substring(a, 1, i) == F.substring(b, 1, i)) & (F.length(a) >= i) & (F.length(b) >= i)
-        out = F.when(same, i).otherwise(out)
+        out = F.when(same, 3.0 * least_jaro(threshold, i) - 1.0).otherwise(out)
     return out
 
 
@@ -111,42 +132,57 @@ def similar_texts(left: DataFrame, right: DataFrame, threshold: float = 0.8) ->
         .groupBy("token")
         .agg(F.count(F.lit(1)).alias("n"))
         .orderBy(F.col("n").desc(), "token")
-        .limit(ORDERED_TOKENS)
+        .limit(WORDS * WORD_BITS)
         .collect()
     )
     if not top:
         empty = texts.select(F.col("text").alias("a"), F.col("text").alias("b"), F.lit(0.0).alias("similarity"))
         return empty.where(F.lit(False))
     place = F.create_map(*[F.lit(x) for i, r in enumerate(top) for x in (r["token"], len(top) - i)])
-    splits = F.create_map(
-        *[F.lit(x) for r in top for x in (r["token"], min(MAX_SPLITS, 1 + r["n"] // ROWS_PER_SPLIT))]
-    )
-    ranked = F.array_sort(
-        F.transform("plain", lambda t: F.struct(F.coalesce(F.try_element_at(place, t), F.lit(0)).alias("p"), t.alias("t")))
+    splits = F.array(*[F.lit(min(MAX_SPLITS, 1 + r["n"] // ROWS_PER_SPLIT)) for r in reversed(top)])
+
+    def placed(t: Column) -> Column:
+        at = F.coalesce(F.try_element_at(place, t), F.lit(0))
+        return F.struct(at.alias("p"), F.when(at == 0, t).otherwise("").alias("rare"))
+
+    ready = compute_once(texts, "text", "sides", F.array_sort(F.transform("plain", placed)).alias("toks"))
+    words = [f"w{i}" for i in range(WORDS)]
+    rares = F.transform(F.filter("toks", lambda t: t.getField("p") == 0), lambda t: t.getField("rare"))
+    ready = compute_once(
+        ready,
+        "text",
+        "sides",
+        "toks",
+        F.size("toks").alias("len"),
+        *[_word(i).alias(w) for i, w in enumerate(words)],
+        rares.alias("rares"),
     )
-    ready = texts.select("text", "sides", F.transform(ranked, lambda x: x.getField("t")).alias("toks"))
-    ready = ready.withColumn("len", F.size("toks"))
 
     classes = [3.0 * least_jaro(threshold, 0) - 1.0, 3.0 * least_jaro(threshold, PREFIX_MAX) - 1.0]
     l_keys = _keys(ready.where(F.col("sides").bitwiseAND(1) != 0), 1, 2, classes)
     r_keys = _keys(ready.where(F.col("sides").bitwiseAND(2) != 0), 2, 1, classes)
-    n_split = F.coalesce(F.try_element_at(splits, F.col("token")), F.lit(1))
+    n_split = F.when(F.col("place") > 0, F.get(splits, F.col("place") - 1)).otherwise(1)
     l_keys = l_keys.withColumn("split", F.pmod(F.xxhash64("text"), n_split).cast("int"))
     r_keys = r_keys.withColumn("split", F.explode(F.sequence(F.lit(0), n_split - 1)))
-    on = ["cls", "first", "role", "band", "token", "split"]
-    joined = l_keys.toDF("a", "la", "ta", *on).join(r_keys.toDF("b", "lb", "tb", *on), on)
+    on = ["cls", "first", "role", "band", "place", "rare", "split"]
+    left_names = ["a", "la", *[f"a{w}" for w in words], "ra", *on]
+    right_names = ["b", "lb", *[f"b{w}" for w in words], "rb", *on]
+    # the keys outnumber the texts many times over, so the estimate must not turn this into a broadcast
+    joined = l_keys.toDF(*left_names).hint("merge").join(r_keys.toDF(*right_names), on)
 
     a, b, la, lb = F.col("a"), F.col("b"), F.col("la"), F.col("lb")
     in_role = F.when(F.col("role") == 1, la <= lb).otherwise(la > lb)
     in_class = (F.col("cls") == 1) | (F.substring(a, 1, 1) != F.substring(b, 1, 1))
-    near = joined.where(in_role & in_class).select(
-        "a", "b", "la", "lb", "token", F.array_intersect("ta", "tb").alias("shared")
-    )
-    m = F.size("shared")
-    jaro = (m / la + m / lb + F.lit(1.0)) / 3.0
-    boosted = jaro + _common_prefix(a, b) * F.lit(PREFIX_SCALE) * (F.lit(1.0) - jaro)
-    bound = F.when(jaro > BOOST_ABOVE - _EPS, boosted).otherwise(jaro)
-    candidates = near.where((F.get("shared", F.lit(0)) == F.col("token")) & (bound > threshold - _EPS)).select("a", "b")
+    shared = [F.col(f"a{w}").bitwiseAND(F.col(f"b{w}")) for w in words]
+    both_rare = (F.size("ra") > 0) & (F.size("rb") > 0)
+    rare_shared = F.when(both_rare, F.size(F.array_intersect("ra", "rb"))).otherwise(0)
+    rarest_is_key = F.when(
+        F.col("place") > 0,
+        reduce(and_, [s.bitwiseAND(_rarer_in_word(i)) == 0 for i, s in enumerate(shared)]) & (rare_shared == 0),
+    ).otherwise(F.get(F.array_intersect("ra", "rb"), F.lit(0)) == F.col("rare"))
+    m = reduce(add, [F.bit_count(s) for s in shared]) + rare_shared
+    enough = m * (la + lb) >= _overlap_factor(a, b, threshold) * la * lb - F.lit(_EPS)
+    candidates = joined.where(in_role & in_class & rarest_is_key & enough).select("a", "b")
     return candidates.withColumn("similarity", jaro_winkler_col("a", "b")).where(F.col("similarity") > threshold)
 
 

@@ -11,14 +11,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.exprs import norm_handle, pretty_title
-from ..runtime import rows_of
+from ..runtime import compute_once, rows_of
 
 PROFILES_PATH = "$.socialProfiles"  # fixed value: name of the array in the document
 
 
-def _kind(v: Column, path: str) -> Column:
-    """Type name of a member, null when the member is absent."""
-    return F.schema_of_variant(F.try_variant_get(v, path, "variant"))
+_MEMBERS = ("type", "username", "id")
 
 
 def parse_profiles(lines: DataFrame, value: str = "value", mode: str = "quarantine") -> DataFrame:
@@ -28,30 +26,31 @@ def parse_profiles(lines: DataFrame, value: str = "value", mode: str = "quaranti
     ``mode='strict'`` raises on ``bad_json``. Each profile is a struct of ``is_object, type, username, id`` and
     the kinds of the three members.
     """
-    parts = F.split(F.col(value), "\t", 4)
-    cut = lines.select(parts.alias("_p"))
+    cut = compute_once(lines, F.split(F.col(value), "\t", 4).alias("_p"))
     four = F.size("_p") == 4
-    doc = cut.select(
+    doc = compute_once(
+        cut,
         four.alias("_four"),
         F.when(four, F.get("_p", F.lit(2))).alias("key"),
+        F.when(four, F.get("_p", F.lit(3))).alias("_json"),
         F.when(four, F.try_parse_json(F.get("_p", F.lit(3)))).alias("_doc"),
-    ).select(
+    )
+    # a value that parses and opens with a brace is an object; entries that are not become null
+    shape = "array<struct<" + ",".join(f"{m}:variant" for m in _MEMBERS) + ">>"
+    doc = compute_once(
+        doc,
         "_four",
         "key",
-        F.coalesce(F.schema_of_variant("_doc").startswith("OBJECT"), F.lit(False)).alias("_object"),
-        F.try_variant_get("_doc", PROFILES_PATH, "array<variant>").alias("_arr"),
+        (F.col("_doc").isNotNull() & F.col("_json").rlike(r"^\s*\{")).alias("_object"),
+        F.try_variant_get("_doc", PROFILES_PATH, shape).alias("_arr"),
     )
 
-    def profile(v: Column) -> Column:
-        return F.struct(
-            F.coalesce(F.schema_of_variant(v).startswith("OBJECT"), F.lit(False)).alias("is_object"),
-            F.try_variant_get(v, "$.type", "string").alias("type"),
-            F.try_variant_get(v, "$.username", "string").alias("username"),
-            F.try_variant_get(v, "$.id", "string").alias("id"),
-            _kind(v, "$.type").alias("type_kind"),
-            _kind(v, "$.username").alias("username_kind"),
-            _kind(v, "$.id").alias("id_kind"),
-        )
+    def profile(e: Column) -> Column:
+        members = []
+        for m in _MEMBERS:
+            members.append(F.try_variant_get(e.getField(m), "$", "string").alias(m))
+            members.append(F.schema_of_variant(e.getField(m)).alias(f"{m}_kind"))
+        return F.struct(e.isNotNull().alias("is_object"), *members)
 
     status = (
         F.when(~F.col("_four"), "bad_line")
@@ -62,7 +61,7 @@ def parse_profiles(lines: DataFrame, value: str = "value", mode: str = "quaranti
     if mode == "strict":
         fail = F.raise_error(F.concat(F.lit("not a JSON object: "), F.coalesce("key", F.lit("?"))))
         status = F.when(F.col("_four") & ~F.col("_object"), fail.cast("string")).otherwise(status)
-    return doc.select("key", status.alias("status"), F.transform("_arr", profile).alias("profiles"))
+    return compute_once(doc, "key", status.alias("status"), F.transform("_arr", profile).alias("profiles"))
 
 
 def _non_string(kind: Column) -> Column:
@@ -94,7 +93,7 @@ def _pairs(types: Column) -> Column:
 
 def profile_token_counts(parsed: DataFrame, strict: bool = False) -> DataFrame:
     """``token, n`` over all lines: ``records``, types, type pairs, ``has_<type>`` and ``no-sp``."""
-    typed = parsed.select("status", _types(strict).alias("types"))
+    typed = compute_once(parsed, "status", _types(strict).alias("types"))
     none = F.array().cast("array<string>")
     tokens = F.concat(
         F.array(F.lit("records")),
@@ -103,15 +102,23 @@ def profile_token_counts(parsed: DataFrame, strict: bool = False) -> DataFrame:
         F.coalesce(F.transform(F.array_distinct("types"), lambda t: F.concat(F.lit("has_"), t)), none),
         F.when(F.col("status") == "no_profiles", F.array(F.lit("no-sp"))).otherwise(none),
     )
-    return typed.select(F.explode(tokens).alias("token")).groupBy("token").agg(F.count(F.lit(1)).alias("n"))
+    listed = compute_once(typed, tokens.alias("tokens"))
+    return listed.select(F.explode("tokens").alias("token")).groupBy("token").agg(F.count(F.lit(1)).alias("n"))
 
 
 def profile_pair_counts(parsed: DataFrame, strict: bool = False) -> DataFrame:
     """How many records hold both types: ``type_a, type_b, n``."""
-    typed = parsed.select(F.array_sort(F.array_distinct(_types(strict))).alias("types"))
-    first = typed.select("types", F.posexplode("types").alias("i", "type_a"))
-    rest = first.select("type_a", F.explode(F.slice("types", F.col("i") + 2, F.size("types"))).alias("type_b"))
-    return rest.groupBy("type_a", "type_b").agg(F.count(F.lit(1)).alias("n"))
+    types = compute_once(parsed, F.array_sort(F.array_distinct(_types(strict))).alias("types"))
+    pairs = F.flatten(
+        F.transform(
+            "types",
+            lambda x, i: F.transform(
+                F.slice("types", i + 2, F.size("types")), lambda y: F.struct(x.alias("type_a"), y.alias("type_b"))
+            ),
+        )
+    )
+    listed = compute_once(types, pairs.alias("pairs"))
+    return listed.select(F.inline("pairs")).groupBy("type_a", "type_b").agg(F.count(F.lit(1)).alias("n"))
 
 
 def token_percent(counts: DataFrame) -> DataFrame:
@@ -159,7 +166,7 @@ def extract_profiles(parsed: DataFrame, type_: str, strict: bool = False, lenien
     if not lenient:
         blank = F.array(F.struct(F.lit("").alias("handle"), F.lit("").alias("id")))
         rows = F.when(F.size(rows) == 0, blank).otherwise(rows)
-    return kept.select("key", F.inline(rows))
+    return compute_once(kept, "key", rows.alias("rows")).select("key", F.inline("rows"))
 
 
 def profile_counters(parsed: DataFrame, type_: str) -> DataFrame:
@@ -167,12 +174,15 @@ def profile_counters(parsed: DataFrame, type_: str) -> DataFrame:
     ok = F.col("status") == "ok"
     wanted = _wanted(type_)
     emitted = F.filter(
-        wanted, lambda p: p.getField("username_kind").isNotNull() | p.getField("id_kind").isNotNull()
+        "wanted", lambda p: p.getField("username_kind").isNotNull() | p.getField("id_kind").isNotNull()
     )
-    sizes = parsed.select(
+    chosen = compute_once(parsed, "status", F.size("profiles").alias("size"), wanted.alias("wanted"))
+    chosen = compute_once(chosen, "status", "size", F.size("wanted").alias("n_wanted"), emitted.alias("emitted"))
+    emitted = F.col("emitted")
+    sizes = chosen.select(
         "status",
-        F.when(ok, F.size(wanted)).alias("hit"),
-        F.when(ok, F.size("profiles")).alias("all"),
+        F.when(ok, F.col("n_wanted")).alias("hit"),
+        F.when(ok, F.col("size")).alias("all"),
         F.when(ok, F.size(emitted)).alias("out"),
         F.when(ok, F.size(F.filter(emitted, lambda p: p.getField("id_kind").isNull()))).alias("noid"),
     )

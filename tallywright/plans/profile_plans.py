@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from ..operators import profiles
+from ..runtime import compute_once
 from .catalog import query, table
 
 TYPES = ["click", "view", "add_to_cart", "purchase", "signup"]
@@ -23,7 +24,8 @@ def lines(spark, d):
 
     n = (k % 5).cast("int")
     found = F.when(n > 0, F.transform(F.sequence(F.lit(1), F.greatest(n, F.lit(1))), profile))
-    array = F.coalesce(F.to_json(found), F.lit("[]"))
+    e = compute_once(e, "event_id", "k", "value", F.coalesce(F.to_json(found), F.lit("[]")).alias("array"))
+    array = F.col("array")
     doc = F.when(k % 17 == 0, F.lit('{"other": 1}')).when(k % 19 == 0, array).otherwise(F.concat(F.lit('{"socialProfiles": '), array, F.lit("}")))
     key = F.concat(F.lit("k"), eid.cast("string"))
     line = F.when(F.col("value") < 1, F.concat_ws("\t", F.lit("a"), key, doc)).otherwise(F.concat_ws("\t", F.lit("a"), F.lit("b"), key, doc))

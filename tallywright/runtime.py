@@ -58,6 +58,15 @@ def small_side(df: DataFrame, max_rows: int = BROADCAST_ROWS, max_chars: int = B
     return df
 
 
+def compute_once(df: DataFrame, *cols: Column | str) -> DataFrame:
+    """``select`` whose expressions are evaluated exactly once per row.
+
+    A later filter or generator on a costly column would otherwise be pushed below the projection and
+    evaluate the column again. A one-entry ``inline`` keeps it from that without leaving code generation.
+    """
+    return df.select(F.inline(F.array(F.struct(*cols))))
+
+
 def rows_of(df: DataFrame, key: str, value: str, pairs: list[tuple[str, Column]], keep: tuple[str, ...] = ()) -> DataFrame:
     """Turn named columns of a (small) frame into ``key, value`` rows in the order given."""
     cells = [F.struct(F.lit(i).alias("_pos"), F.lit(n).alias(key), c.alias(value)) for i, (n, c) in enumerate(pairs)]
