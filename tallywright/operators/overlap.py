@@ -127,16 +127,14 @@ def coverage(
     both = b.select("value", "base_name", F.lit(None).cast("string").alias("rung_name")).unionByName(
         r.select("value", F.lit(None).cast("string").alias("base_name"), "rung_name")
     )
-    hit = F.array_sort(F.collect_set("rung_name"))
-    if rungs is not None:
-        order = F.array(*[F.lit(n) for n in rungs])
-        hit = F.filter(order, lambda x: F.array_contains(F.collect_set("rung_name"), x))
-    return (
-        both.groupBy("value")
-        .agg(F.array_sort(F.collect_set("base_name")).alias("base_set"), hit.alias("rung_set"))
-        .groupBy("base_set", "rung_set")
-        .agg(F.count(F.lit(1)).alias("n"))
+    per_value = both.groupBy("value").agg(
+        F.array_sort(F.collect_set("base_name")).alias("base_set"), F.array_sort(F.collect_set("rung_name")).alias("rung_set")
     )
+    counted = per_value.groupBy("base_set", "rung_set").agg(F.count(F.lit(1)).alias("n"))
+    if rungs is None:
+        return counted
+    in_order = F.filter(F.array(*[F.lit(n) for n in rungs]), lambda x: F.array_contains("rung_set", x))
+    return counted.select("base_set", in_order.alias("rung_set"), "n")
 
 
 def ladder_counts(
