@@ -92,8 +92,14 @@ def edge_tombstones(pairs: DataFrame, src: str = "src", tgt: str = "tgt", prefix
     return pairs.select(src, tgt).distinct().select(F.inline(F.array(*as_structs)))
 
 
+def mark_edges(edges: DataFrame, pairs: DataFrame, **names: str) -> DataFrame:
+    """Stored cells with a flag ``dropped`` for those of the given edges, from one join."""
+    on = ["store", "node", "direction", "other"]
+    dead = edge_tombstones(pairs, **names).withColumn("dropped", F.lit(True))
+    return edges.join(dead, on, "left").withColumn("dropped", F.coalesce("dropped", F.lit(False)))
+
+
 def drop_edges(edges: DataFrame, pairs: DataFrame, **names: str) -> tuple[DataFrame, DataFrame]:
     """Stored cells without the given edges, and the cells to delete that do exist."""
-    dead = edge_tombstones(pairs, **names)
-    on = ["store", "node", "direction", "other"]
-    return edges.join(dead, on, "left_anti"), edges.join(dead, on, "left_semi")
+    marked = mark_edges(edges, pairs, **names)
+    return marked.where(~F.col("dropped")).drop("dropped"), marked.where("dropped").drop("dropped")

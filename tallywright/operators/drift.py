@@ -156,38 +156,33 @@ def field_changes(
     return listed.select(key, F.inline("cells"))
 
 
-def _labelled(changes: DataFrame, dictionary: DataFrame, category: str) -> DataFrame:
+def displayed_fields(dictionary: DataFrame, columns: Sequence[str], category: str = "Demog") -> dict[str, str]:
+    """The record's columns the dictionary displays, with their titles; bounded by the width of the record."""
+    wanted = dictionary.where((F.col("category") == category) & F.col("field").isin(list(columns)))
+    found = {r["field"]: r["title"] for r in wanted.groupBy("field").agg(F.min("title").alias("title")).collect()}
+    return {c: found[c] for c in columns if c in found}
+
+
+def _labelled(changes: DataFrame, dictionary: DataFrame, titles: Mapping[str, str], category: str) -> DataFrame:
     """Field titles and value names in place of codes; an unknown code is ``Unk``."""
-    shown = dictionary.where(F.col("category") == category)
-    titles = dictionary.groupBy(F.col("field").alias("t_field")).agg(F.min("title").alias("title"))
-    names = shown.groupBy("field", "value").agg(F.min("value_name").alias("value_name"))
-    before = small_side(names.toDF("b_field", "b_code", "b_name"))
-    after = small_side(names.toDF("a_field", "a_code", "a_name"))
-    joined = (
-        changes.join(small_side(titles), F.col("field") == F.col("t_field"), "left")
-        .join(before, (F.col("field") == F.col("b_field")) & (F.col("old_code") == F.col("b_code")), "left")
-        .join(after, (F.col("field") == F.col("a_field")) & (F.col("new_code") == F.col("a_code")), "left")
-    )
+    shown = dictionary.where((F.col("category") == category) & F.col("field").isin(list(titles)))
+    names = small_side(shown.groupBy("field", "value").agg(F.min("value_name").alias("value_name")))
+    before, after = names.toDF("b_field", "b_code", "b_name"), names.toDF("a_field", "a_code", "a_name")
+    joined = changes.join(
+        before, (F.col("field") == F.col("b_field")) & (F.col("old_code") == F.col("b_code")), "left"
+    ).join(after, (F.col("field") == F.col("a_field")) & (F.col("new_code") == F.col("a_code")), "left")
 
     def text(name: str, code: str) -> Column:
         return F.when(F.col("coded"), F.coalesce(F.col(name), F.lit(UNKNOWN))).otherwise(F.coalesce(F.col(code), F.lit("")))
 
+    label = F.col("field")
+    for field, title in titles.items():
+        label = F.when(F.col("coded") & (F.col("field") == field), title).otherwise(label)
     return joined.withColumns(
-        {
-            "field_label": F.when(F.col("coded"), F.coalesce("title", "field")).otherwise(F.col("field")),
-            "old_label": text("b_name", "old_code"),
-            "new_label": text("a_name", "new_code"),
-        }
+        {"field_label": label, "old_label": text("b_name", "old_code"), "new_label": text("a_name", "new_code")}
     )
 
 
-def displayed_fields(dictionary: DataFrame, columns: Sequence[str], category: str = "Demog") -> list[str]:
-    """The record's columns the dictionary displays; bounded by the width of the record."""
-    wanted = dictionary.where((F.col("category") == category) & F.col("field").isin(list(columns)))
-    found = {r[0] for r in wanted.select("field").distinct().collect()}
-    return [c for c in columns if c in found]
-
-
 def drift_fields(
     old: DataFrame,
     new: DataFrame,
@@ -201,9 +196,9 @@ def drift_fields(
     ``dictionary`` has ``title, field, value, value_name, category`` rows (see ``flatten_dictionary``).
     """
     dictionary = durable(dictionary)  # read several times below
-    fields = displayed_fields(dictionary, [c for c in new.columns if c != key], category)
-    changes = field_changes(old, new, key, fields, expand)
-    return _labelled(changes, dictionary, category).select(key, "field_label", "old_label", "new_label")
+    titles = displayed_fields(dictionary, [c for c in new.columns if c != key], category)
+    changes = field_changes(old, new, key, list(titles), expand)
+    return _labelled(changes, dictionary, titles, category).select(key, "field_label", "old_label", "new_label")
 
 
 def transition_counts(
@@ -219,11 +214,11 @@ def transition_counts(
     Codes are counted first, so labels are looked up once per distinct transition, not per record.
     """
     dictionary = durable(dictionary)  # read several times below
-    fields = displayed_fields(dictionary, [c for c in new.columns if c != key], category)
-    changes = field_changes(old, new, key, fields, expand)
+    titles = displayed_fields(dictionary, [c for c in new.columns if c != key], category)
+    changes = field_changes(old, new, key, list(titles), expand)
     counted = changes.groupBy("field", "old_code", "new_code", "coded").agg(F.count(F.lit(1)).alias("n"))
     return (
-        _labelled(counted, dictionary, category)
+        _labelled(counted, dictionary, titles, category)
         .groupBy("field_label", "old_label", "new_label")
         .agg(F.sum("n").cast("bigint").alias("n"))
         .orderBy("field_label", "old_label", "new_label")

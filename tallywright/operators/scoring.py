@@ -166,11 +166,14 @@ def analysis_report(df: DataFrame, score: str) -> DataFrame:
     Signs, moments and both standard histograms are one aggregate over one scan; the count above mean
     plus deviation needs the threshold first and is the only second scan.
     """
-    v = jround(score)
-    aggs = [*_moments(score), F.count_if(v > 0).alias("pos"), F.count_if(v < 0).alias("neg"), F.count_if(v == 0).alias("zer")]
-    for tag, bounds in (("h", BOUNDS_500K), ("m", BOUNDS_3M)):
-        aggs += [F.count_if(bucket_of(v, bounds) == i).alias(f"{tag}{i}") for i in range(len(bounds) + 1)]
-    one = df.agg(*aggs)
+    sets = (("h", BOUNDS_500K), ("m", BOUNDS_3M))
+    whole = df.select(score, jround(score).alias("v"))
+    placed = whole.select(score, "v", *[bucket_of("v", bounds).alias(tag) for tag, bounds in sets])
+    signs = (("pos", F.col("v") > 0), ("neg", F.col("v") < 0), ("zer", F.col("v") == 0))
+    aggs = [*_moments(score), *[F.count_if(test).alias(name) for name, test in signs]]
+    for tag, bounds in sets:
+        aggs += [F.count_if(F.col(tag) == i).alias(f"{tag}{i}") for i in range(len(bounds) + 1)]
+    one = placed.agg(*aggs)
     above = above_mean_plus_sd(df, score).agg(F.count(F.lit(1)).alias("above"))
     total = F.col("pos") + F.col("neg") + F.col("zer")
     pairs = [
@@ -183,7 +186,7 @@ def analysis_report(df: DataFrame, score: str) -> DataFrame:
         ("Standard Deviation + Mean", F.col("mean_plus_sd")),
         ("Standard Deviation + Mean Count", F.col("above")),
     ]
-    for tag, bounds in (("h", BOUNDS_500K), ("m", BOUNDS_3M)):
+    for tag, bounds in sets:
         pairs += [(t, F.col(f"{tag}{i}")) for i, t in enumerate(labels(bounds))]
     wide = one.withColumn("above", above.scalar()).withColumn("total", total)
     long = rows_of(wide, "metric", "value", [(n, c.cast("double")) for n, c in pairs], keep=("total",))

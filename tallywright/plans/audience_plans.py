@@ -89,8 +89,8 @@ def edges_drop(spark, d):
         return df.select(F.concat(F.lit("p"), "l_partkey").alias("src"), F.concat(F.lit("s"), "l_suppkey").alias("tgt"))
 
     edges = audience.edge_tombstones(pairs(items))
-    kept, dropped = audience.drop_edges(edges, pairs(items.where("l_returnflag = 'R'")))
-    return kept.select(F.lit("kept").alias("outcome"), "*").unionByName(dropped.select(F.lit("dropped").alias("outcome"), "*"))
+    marked = audience.mark_edges(edges, pairs(items.where("l_returnflag = 'R'")))
+    return marked.withColumn("outcome", F.when(F.col("dropped"), "dropped").otherwise("kept")).drop("dropped")
 
 
 @query("job_history_select", """

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -33,16 +34,15 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def durable(df: DataFrame) -> DataFrame:
-    """Write ``df`` once to the shared folder and go on from there.
+    """Write ``df`` once to a table in the shared folder and read it from there.
 
-    Needed where two branches must see the very same placement of rows even if an executor is lost
-    between them.
+    Needed where several branches must see the very same rows and placement even if an executor is lost
+    between them. As a column store each branch reads only what it uses.
     """
     spark = df.sparkSession
-    folder = shared_dir(spark)
-    if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(folder)
-    return df.checkpoint(eager=True)
+    path = f"{shared_dir(spark)}/tallywright/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def small_side(df: DataFrame, max_rows: int = BROADCAST_ROWS, max_chars: int = BROADCAST_CHARS) -> DataFrame:
