@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.exprs import pct_of
+from ..runtime import compute_once
 from .rules import drop_blank_normalised
 
 #: Lists that fit the bits of one long.
@@ -49,7 +50,7 @@ def combinations(lists: DataFrame, names: Sequence[str] | None = None) -> DataFr
     if known is not None:
         masks = clean.groupBy("value").agg(F.bit_or(_bit("list_name", known)).alias("mask"))
         counted = masks.groupBy("mask").agg(F.count(F.lit(1)).alias("n"))
-        return counted.select(_unpack(F.col("mask"), known).alias("members"), "n")
+        return compute_once(counted, _unpack(F.col("mask"), known).alias("members"), "n")
     sets = clean.groupBy("value").agg(F.array_sort(F.collect_set("list_name")).alias("members"))
     return sets.groupBy("members").agg(F.count(F.lit(1)).alias("n"))
 
@@ -69,8 +70,6 @@ def overlap_counts(lists: DataFrame, names: Sequence[str] | None = None) -> Data
         combinations(lists, names)
         .select("members", "n", F.explode("members").alias("list_a"))
         .select("list_a", F.explode("members").alias("list_b"), "n")
-        .groupBy("list_a", "list_b")
-        .agg(F.sum("n").alias("n"))
     )
     rows = _name_rows(lists, "list_name", names, "list_a")
     cols = _name_rows(lists, "list_name", names, "list_b").agg(F.collect_set("list_b").alias("all_b"))
@@ -119,11 +118,9 @@ def coverage(
             r.select("value", zero.alias("b"), _bit("rung_name", known_rungs).alias("r"))
         )
         per_value = both.groupBy("value").agg(F.bit_or("b").alias("b"), F.bit_or("r").alias("r"))
-        return (
-            per_value.groupBy("b", "r")
-            .agg(F.count(F.lit(1)).alias("n"))
-            .select(_unpack(F.col("b"), known_base).alias("base_set"), _unpack(F.col("r"), known_rungs).alias("rung_set"), "n")
-        )
+        counted = per_value.groupBy("b", "r").agg(F.count(F.lit(1)).alias("n"))
+        base_set, rung_set = _unpack(F.col("b"), known_base), _unpack(F.col("r"), known_rungs)
+        return compute_once(counted, base_set.alias("base_set"), rung_set.alias("rung_set"), "n")
     both = b.select("value", "base_name", F.lit(None).cast("string").alias("rung_name")).unionByName(
         r.select("value", F.lit(None).cast("string").alias("base_name"), "rung_name")
     )
@@ -144,11 +141,8 @@ def ladder_counts(
     base_names = base_names if base_names is not None else _names(base, "base_name", None)
     rungs = rungs if rungs is not None else _names(ladder, "rung_name", None)
     table = coverage(base, ladder, base_names, rungs)
-    hits = (
-        table.where(F.size("rung_set") > 0)
-        .select(F.explode("base_set").alias("base_name"), F.get("rung_set", F.lit(0)).alias("rung_name"), "n")
-        .groupBy("base_name", "rung_name")
-        .agg(F.sum("n").alias("n"))
+    hits = table.where(F.size("rung_set") > 0).select(
+        F.explode("base_set").alias("base_name"), F.get("rung_set", F.lit(0)).alias("rung_name"), "n"
     )
     base_rows = _name_rows(base, "base_name", base_names, "base_name")
     zero = F.lit(0).cast("bigint").alias("n")

@@ -36,10 +36,13 @@ def reject(df: DataFrame, pred: Column | str) -> DataFrame:
     return df.where(~F.coalesce(test, F.lit(False)))
 
 
+# fixed value: what counts as blank at either end, i.e. everything up to the space
+_BLANKS = "".join(chr(i) for i in range(33))
+
+
 def drop_blank_normalised(df: DataFrame, col: str) -> DataFrame:
-    """Trim, lower-case and drop blanks. Every kind of white space counts, not only spaces."""
-    cleaned = F.lower(F.regexp_replace(F.col(col).cast("string"), r"^\s+|\s+$", ""))
-    return df.withColumn(col, cleaned).where(F.col(col) != "")
+    """Trim blanks and control characters, lower-case, and drop what is then empty."""
+    return df.withColumn(col, F.lower(F.btrim(F.col(col).cast("string"), F.lit(_BLANKS)))).where(F.col(col) != "")
 
 
 def search_filter(

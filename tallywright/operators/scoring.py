@@ -65,10 +65,20 @@ def score_bands(
     return wide.select(*groups, F.inline(F.array(*cells)))
 
 
-def above_mean_plus_sd(df: DataFrame, score: str) -> DataFrame:
-    """Rows strictly above mean plus sample deviation; the threshold is one number found beforehand."""
-    bar = df.agg((F.avg(score) + F.stddev_samp(score)).alias("bar"))
-    return df.where(F.col(score) > bar.scalar())
+def _per_group(df: DataFrame, table: DataFrame, groups: list[str]) -> DataFrame:
+    """Columns of a table with one row per group next to each row of that group."""
+    right = table.select(*[F.col(g).alias(f"_g_{g}") for g in groups], *[c for c in table.columns if c not in groups])
+    same = [F.col(g).eqNullSafe(F.col(f"_g_{g}")) for g in groups]
+    return df.join(small_side(right), same).drop(*[f"_g_{g}" for g in groups])
+
+
+def above_mean_plus_sd(df: DataFrame, score: str, group_cols: Sequence[str] = ()) -> DataFrame:
+    """Rows strictly above mean plus sample deviation; the threshold is found beforehand, per group if given."""
+    groups = list(group_cols)
+    bar = df.groupBy(*groups).agg((F.avg(score) + F.stddev_samp(score)).alias("_bar"))
+    if not groups:
+        return df.where(F.col(score) > bar.scalar())
+    return _per_group(df, bar, groups).where(F.col(score) > F.col("_bar")).drop("_bar")
 
 
 def rounded_distribution(df: DataFrame, score: str, step: int = 1000, group_cols: Sequence[str] = ()) -> DataFrame:
@@ -108,13 +118,8 @@ def _ranked_with_size(df: DataFrame, score: str, tie_break: Sequence[str], group
     ranked = global_rank(df, order, groups)
     size = (F.col("tens") / 10).cast("bigint")
     too_few = F.raise_error(F.lit("fewer than ten positive scores: no decile can be formed")).cast("bigint")
-    sizes = _chunk_sizes(df, score, groups).select(
-        *[F.col(g).alias(f"_s_{g}") for g in groups], F.when(size == 0, too_few).otherwise(size).alias("chunk")
-    )
-    if not groups:
-        return ranked.withColumn("chunk", sizes.scalar())
-    same = [F.col(g).eqNullSafe(F.col(f"_s_{g}")) for g in groups]
-    return ranked.join(small_side(sizes), same).drop(*[f"_s_{g}" for g in groups])
+    sizes = _chunk_sizes(df, score, groups).select(*groups, F.when(size == 0, too_few).otherwise(size).alias("chunk"))
+    return _per_group(ranked, sizes, groups) if groups else ranked.withColumn("chunk", sizes.scalar())
 
 
 def chunk_bounds(df: DataFrame, score: str, tie_break: Sequence[str], group_cols: Sequence[str] = ()) -> DataFrame:
@@ -160,27 +165,33 @@ def top_deciles(
     return ranked.where(F.col("rank") <= wanted * F.col("chunk")).select(*df.columns, "rank")
 
 
-def analysis_report(df: DataFrame, score: str) -> DataFrame:
-    """The long report as ``pos, metric, value, share`` rows.
+def analysis_report(df: DataFrame, score: str, group_cols: Sequence[str] = ()) -> DataFrame:
+    """The long report as ``pos, metric, value, share`` rows, per group if given.
 
     Signs, moments and both standard histograms are one aggregate over one scan; the count above mean
     plus deviation needs the threshold first and is the only second scan.
     """
+    groups = list(group_cols)
     sets = (("h", BOUNDS_500K), ("m", BOUNDS_3M))
-    whole = df.select(score, jround(score).alias("v"))
-    placed = whole.select(score, "v", *[bucket_of("v", bounds).alias(tag) for tag, bounds in sets])
+    whole = df.select(*groups, score, jround(score).alias("v"))
+    placed = whole.select(*groups, score, "v", *[bucket_of("v", bounds).alias(tag) for tag, bounds in sets])
     signs = (("pos", F.col("v") > 0), ("neg", F.col("v") < 0), ("zer", F.col("v") == 0))
     aggs = [*_moments(score), *[F.count_if(test).alias(name) for name, test in signs]]
     for tag, bounds in sets:
         aggs += [F.count_if(F.col(tag) == i).alias(f"{tag}{i}") for i in range(len(bounds) + 1)]
-    one = placed.agg(*aggs)
-    above = above_mean_plus_sd(df, score).agg(F.count(F.lit(1)).alias("above"))
-    total = F.col("pos") + F.col("neg") + F.col("zer")
+    one = placed.groupBy(*groups).agg(*aggs).withColumn("total", F.col("pos") + F.col("neg") + F.col("zer"))
+    above = above_mean_plus_sd(df.select(*groups, score), score, groups).groupBy(*groups).agg(F.count(F.lit(1)).alias("above"))
+    if groups:
+        # a group without a row above its threshold still has to appear
+        none = one.select(*groups, F.lit(0).cast("bigint").alias("above"))
+        wide = _per_group(one, above.unionByName(none).groupBy(*groups).agg(F.sum("above").alias("above")), groups)
+    else:
+        wide = one.withColumn("above", above.scalar())
     pairs = [
         ("Positive", F.col("pos")),
         ("Zero", F.col("zer")),
         ("Negative", F.col("neg")),
-        ("Total", total),
+        ("Total", F.col("total")),
         ("Mean", F.col("mean")),
         ("Standard Deviation", F.col("sd")),
         ("Standard Deviation + Mean", F.col("mean_plus_sd")),
@@ -188,7 +199,6 @@ def analysis_report(df: DataFrame, score: str) -> DataFrame:
     ]
     for tag, bounds in sets:
         pairs += [(t, F.col(f"{tag}{i}")) for i, t in enumerate(labels(bounds))]
-    wide = one.withColumn("above", above.scalar()).withColumn("total", total)
-    long = rows_of(wide, "metric", "value", [(n, c.cast("double")) for n, c in pairs], keep=("total",))
+    long = rows_of(wide, "metric", "value", [(n, c.cast("double")) for n, c in pairs], keep=(*groups, "total"))
     share = F.when(F.col("metric").isin("Positive", "Zero", "Negative"), F.col("value") / F.nullif("total", F.lit(0)))
-    return long.select(F.col("_pos").cast("bigint").alias("pos"), "metric", "value", share.alias("share"))
+    return long.select(*groups, F.col("_pos").cast("bigint").alias("pos"), "metric", "value", share.alias("share"))

@@ -118,3 +118,15 @@ def test_batches(spark):
     assert [(r.batch_name, list(r["keys"])) for r in out] == [
         ("batch-000000000", [0, 1, 2]), ("batch-000000001", [3, 4, 5]), ("batch-000000002", [6])
     ]
+
+
+def test_report_per_file_is_the_report_of_each_file(spark):
+    df = spark.range(300).selectExpr("id", "cast((id * 7919) % 1000 - 300 as double) as score", "concat('f', id % 3) as file")
+    df = df.unionByName(spark.createDataFrame([(900, 5.0, "g")], "id long, score double, file string"))
+    both = scoring.analysis_report(df, "score", ["file"]).collect()
+    for name in ("f0", "f1", "f2"):
+        alone = {r.pos: (r.value, r.share) for r in scoring.analysis_report(df.where(F.col("file") == name), "score").collect()}
+        assert {r.pos: (r.value, r.share) for r in both if r.file == name} == alone
+    assert {r.metric: r.value for r in both if r.file == "g"}["Standard Deviation + Mean Count"] == 0.0
+    kept = {r.id for r in scoring.above_mean_plus_sd(df, "score", ["file"]).where("file = 'f1'").collect()}
+    assert kept == {r.id for r in scoring.above_mean_plus_sd(df.where("file = 'f1'"), "score").collect()}
