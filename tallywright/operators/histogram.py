@@ -35,12 +35,11 @@ def bucket_of(col: Column | str, bounds: Sequence[int]) -> Column:
     """
     v = F.col(col) if isinstance(col, str) else col
     over = len(bounds)
-    neg, pos = F.lit(over), F.lit(over)
-    for i in reversed(range(len(bounds))):
-        neg = F.when(v <= bounds[i], i).otherwise(neg)
-        pos = F.when(v < bounds[i], i).otherwise(pos)
-    zero = F.lit(list(bounds).index(0)) if 0 in bounds else F.lit(over)
-    return F.when(v.isNotNull(), F.when(v == 0, zero).when(v < 0, neg).otherwise(pos))
+    neg = pos = F.when(F.lit(False), over)
+    for i, bound in enumerate(bounds):
+        neg, pos = neg.when(v <= bound, i), pos.when(v < bound, i)
+    zero = list(bounds).index(0) if 0 in bounds else over
+    return F.when(v == 0, zero).when(v < 0, neg.otherwise(over)).when(v > 0, pos.otherwise(over))
 
 
 def histogram(df: DataFrame, col: str, bounds: Sequence[int], group_cols: Sequence[str] = ()) -> DataFrame:

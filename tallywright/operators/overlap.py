@@ -29,10 +29,10 @@ def _names(lists: DataFrame, col: str, given: Sequence[str] | None) -> list[str]
 
 
 def _bit(col: str, names: Sequence[str]) -> Column:
-    out = F.lit(0).cast("bigint")
+    bits = F.when(F.lit(False), F.lit(0).cast("bigint"))
     for i, n in enumerate(names):
-        out = F.when(F.col(col) == n, F.lit(1 << i).cast("bigint")).otherwise(out)
-    return out
+        bits = bits.when(F.col(col) == n, F.lit(1 << i).cast("bigint"))
+    return bits.otherwise(F.lit(0).cast("bigint"))
 
 
 def _unpack(mask: Column, names: Sequence[str]) -> Column:

@@ -8,6 +8,8 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..runtime import compute_once
+
 # Fixed values (coded fields of a household record that contradict each other)
 GENDER_AGAINST_HOUSEHOLD = (("F", "J"), ("F", "I"), ("M", "L"), ("M", "K"))
 HOUSEHOLDS_WITHOUT_CHILDREN = ("B", "D", "F", "H", "J", "L")
@@ -42,7 +44,9 @@ _BLANKS = "".join(chr(i) for i in range(33))
 
 def drop_blank_normalised(df: DataFrame, col: str) -> DataFrame:
     """Trim blanks and control characters, lower-case, and drop what is then empty."""
-    return df.withColumn(col, F.lower(F.btrim(F.col(col).cast("string"), F.lit(_BLANKS)))).where(F.col(col) != "")
+    others = [c for c in df.columns if c != col]
+    cleaned = F.lower(F.btrim(F.col(col).cast("string"), F.lit(_BLANKS)))
+    return compute_once(df, *others, cleaned.alias(col)).where(F.col(col) != "").select(*df.columns)
 
 
 def search_filter(

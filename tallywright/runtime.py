@@ -63,8 +63,11 @@ def compute_once(df: DataFrame, *cols: Column | str) -> DataFrame:
 
     A later filter or generator on a costly column would otherwise be pushed below the projection and
     evaluate the column again. A one-entry ``inline`` keeps it from that without leaving code generation.
+    Names pass by as they are, so pruning and pushdown still work on them; they come first in the result.
     """
-    return df.select(F.inline(F.array(F.struct(*cols))))
+    names = [c for c in cols if isinstance(c, str)]
+    made = [c for c in cols if not isinstance(c, str)]
+    return df.select(*names, F.inline(F.array(F.struct(*made))))
 
 
 def rows_of(df: DataFrame, key: str, value: str, pairs: list[tuple[str, Column]], keep: tuple[str, ...] = ()) -> DataFrame:
