@@ -22,16 +22,25 @@ def map_codes(rows: DataFrame, codes: DataFrame, key: str = "id", on_missing: st
     return joined.select(key, label.alias("label"))
 
 
+#: Largest code table that becomes a literal map.
+MAP_CODES = 10_000
+
+
 def map_code_lists(rows: DataFrame, codes: DataFrame, key: str = "id", on_missing: str = "raise") -> DataFrame:
-    """The same for ``id, codes`` rows with an array of codes: the row keeps its array.
+    """The same for ``id, codes`` rows with an array of codes: each row keeps its array, as ``labels``.
 
-    ``codes`` must fit a map, which is checked; a larger table goes through the row form.
+    A code table that is proven small becomes a map and the rows do not move. A larger one maps every
+    distinct array once through a join.
     """
     table = codes.groupBy("code").agg(F.max("label").alias("label"))
-    found = table.limit(10_001).collect()
-    if len(found) > 10_000:
-        flat = rows.select(key, F.explode("codes").alias("code"))
-        return map_codes(flat, codes, key, on_missing).groupBy(key).agg(F.array_sort(F.collect_list("label")).alias("labels"))
+    found = table.limit(MAP_CODES + 1).collect()
+    if len(found) > MAP_CODES:
+        lists = rows.select("codes").distinct()
+        flat = lists.select(F.col("codes").alias("_codes"), F.explode("codes").alias("code"))
+        mapped = map_codes(flat, codes, "_codes", on_missing)
+        labelled = mapped.groupBy("_codes").agg(F.array_sort(F.collect_list("label")).alias("labels"))
+        joined = rows.join(labelled, F.col("codes") == F.col("_codes"), "left")
+        return joined.select(key, F.coalesce("labels", F.array().cast("array<string>")).alias("labels"))
     lookup = F.create_map(*[F.lit(x) for r in found for x in (r["code"], r["label"])])
     labels = F.transform("codes", lambda c: F.try_element_at(lookup, c))
     if on_missing == "raise":

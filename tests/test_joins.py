@@ -152,3 +152,16 @@ def test_seed_payload(spark):
     assert [r.payload for r in seeds.seed_payload(rows).collect()] == [
         '{"name":"@bob","twitterHandle":"@bob","twitterBio":"","instagramMMTitle":null,"instagramMMId":"7"}'
     ]
+
+
+@pytest.mark.parametrize("limit", [10_000, 1])
+def test_code_lists_keep_their_rows(spark, monkeypatch, limit):
+    monkeypatch.setattr(audience, "MAP_CODES", limit)
+    codes = spark.createDataFrame([("1", "one"), ("2", "two")], "code string, label string")
+    rows = spark.createDataFrame([("a", ["1", "2"]), ("a", ["2", "2"]), ("b", []), ("c", ["1", "2"])], "id string, codes array<string>")
+    got = sorted((r.id, r.labels) for r in audience.map_code_lists(rows, codes).collect())
+    assert got == [("a", ["one", "two"]), ("a", ["two", "two"]), ("b", []), ("c", ["one", "two"])]
+    bad = spark.createDataFrame([("a", ["9"])], "id string, codes array<string>")
+    with pytest.raises(Exception, match="unknown code"):
+        audience.map_code_lists(bad, codes).collect()
+    assert audience.map_code_lists(bad, codes, on_missing="drop").first().labels == []

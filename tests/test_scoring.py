@@ -130,3 +130,10 @@ def test_report_per_file_is_the_report_of_each_file(spark):
     assert {r.metric: r.value for r in both if r.file == "g"}["Standard Deviation + Mean Count"] == 0.0
     kept = {r.id for r in scoring.above_mean_plus_sd(df, "score", ["file"]).where("file = 'f1'").collect()}
     assert kept == {r.id for r in scoring.above_mean_plus_sd(df.where("file = 'f1'"), "score").collect()}
+
+
+def test_more_than_ten_chunks_reach_negative_scores(spark):
+    df = _scores(spark, [*range(1, 21), -1, -2, -3, -4])
+    picked = {d: sorted(r.score for r in scoring.top_deciles(df, "score", ["id"], deciles=d).collect()) for d in (1, 10, 11)}
+    assert picked[1] == [19.0, 20.0] and picked[10] == [float(i) for i in range(1, 21)]
+    assert picked[11] == [-2.0, -1.0, *[float(i) for i in range(1, 21)]]
