@@ -3,20 +3,33 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..runtime import ship
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {}
 SQL: dict[str, str] = {}
 
 
+def shipped(fn: Query) -> Query:
+    """``fn`` that first sees to it that executors have the package."""
+
+    @wraps(fn)
+    def run(spark: SparkSession, folder: str) -> DataFrame:
+        return fn(ship(spark), folder)
+
+    return run
+
+
 def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
     def register(fn: Query) -> Query:
         if name in QUERIES:
             raise ValueError(f"query {name} is registered twice")
-        QUERIES[name] = fn
+        QUERIES[name] = shipped(fn)
         if sql is not None:
             SQL[name] = sql.strip()
         return fn

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import zipfile
 from functools import reduce
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,6 +16,27 @@ BROADCAST_ROWS = 200_000
 BROADCAST_CHARS = 32 * 1024 * 1024
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> SparkSession:
+    """Give the executors this package, once per application.
+
+    Functions that run in tasks are looked up by module there, and an executor neither has the driver's folder nor
+    its search path. The sources go as one small archive through Spark's own file transfer.
+    """
+    app = spark.sparkContext.applicationId
+    if app not in _SHIPPED:
+        package = Path(__file__).resolve().parent
+        archive = Path(tempfile.mkdtemp(prefix="tallywright-src-")) / f"{package.name}.zip"
+        with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as z:
+            for file in sorted(package.rglob("*.py")):
+                z.write(file, file.relative_to(package.parent))
+        spark.sparkContext.addPyFile(str(archive))
+        _SHIPPED.add(app)
+    return spark
+
+
 def shared_dir(spark: SparkSession) -> str:
     """Folder for durable intermediate data.
 
