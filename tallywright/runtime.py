@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 #: A side is broadcast only when both bounds hold.
 BROADCAST_ROWS = 200_000
 BROADCAST_CHARS = 32 * 1024 * 1024
+FREE_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 _SHIPPED: set[str] = set()
@@ -60,11 +61,17 @@ def durable(df: DataFrame) -> DataFrame:
     """Write ``df`` once to a table in the shared folder and read it from there.
 
     Needed where several branches must see the very same rows and placement even if an executor is lost
-    between them. As a column store each branch reads only what it uses.
+    between them. As a column store each branch reads only what it uses. Shuffle files of the job are given
+    back at its end: the table replaces them.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/tallywright/{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    before = spark.conf.get(FREE_SHUFFLES, "false")
+    spark.conf.set(FREE_SHUFFLES, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(FREE_SHUFFLES, before)
     return spark.read.schema(df.schema).parquet(path)
 
 
