@@ -1,6 +1,6 @@
 """Removal of repeated byte strings with suffix arrays made by induced sorting, one per shard.
 
-Every window of ``WINDOW`` bytes is assigned to its anchor, the 16-gram of smallest hash in it: equal windows have
+Every window of ``WINDOW`` bytes is assigned to its anchor, the 32-gram of smallest hash in it: equal windows have
 the same anchor at the same place. Consecutive windows of one anchor form a cell. Only cells whose anchor occurs
 again can hold a repeat; equal cells are counted as one class by Spark, and where an anchor has several classes
 a shard's suffix array over their bytes finds the windows they share.
@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from ..runtime import durable
 from .common import mixed, only, raw, text_key
 
-WINDOW, GRAM = 100, 16
+WINDOW, GRAM = 100, 32
 #: Windows looked at together in one text; cells end there, longer texts are cut at no other cost.
 SEGMENT = 1 << 22
 #: Bytes of cells in one suffix array.
@@ -219,7 +219,9 @@ def cells(data: bytes) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     for base in range(0, len(data) - WINDOW + 1, SEGMENT):
         b = np.frombuffer(data, np.uint8)[base : base + SEGMENT + WINDOW - 1]
         x = _words8(b)
-        h = mixed(mixed(x[:-8]) + x[8:] * np.uint64(0x9E3779B97F4A7C15))
+        many, h = len(b) - GRAM + 1, np.uint64(GRAM)
+        for off in range(0, GRAM, 8):
+            h = mixed(h + x[off : off + many])
         key = (h & ~np.uint64(0xFFFFFF)) | np.arange(len(h), dtype=np.uint64)
         at = (_sliding_min(key, grams) & np.uint64(0xFFFFFF)).astype(np.int64)
         start = np.flatnonzero(np.r_[True, at[1:] != at[:-1]])
@@ -368,7 +370,9 @@ def without_repeats(docs: DataFrame, keep: tuple[str, ...] = (), with_kept: bool
     and text are one document and both get its answer. A null text is empty; texts under ``WINDOW`` bytes lose
     nothing. Strings are judged on the input. Other columns are ignored.
     """
-    source = docs.select(*[F.col(f"`{c}`") for c in dict.fromkeys(["doc_id", "text", *keep])]).withColumn("text_key", text_key())
+    source = docs.select(*[F.col(f"`{c}`") for c in dict.fromkeys(["doc_id", "text", *keep])])
+    twice = source.groupBy("doc_id").agg(F.count(F.lit(1)).alias("times")).where("times > 1 OR doc_id IS NULL")
+    source = source.withColumn("text_key", F.lit(0).cast("long") if twice.isEmpty() else text_key())  # nothing to tell apart
     found = repeats(only(source, ["doc_id", "text", "text_key"])).groupBy(F.col("doc_id").alias("d"), F.col("text_key").alias("k"))
     spans = found.agg(F.collect_list(F.struct("start", "stop")).alias("spans"))
     joined = source.join(spans, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("text_key") == F.col("k")), "left").drop("d", "k", "text_key")
