@@ -14,39 +14,27 @@ def map_codes(rows: DataFrame, codes: DataFrame, key: str = "id", on_missing: st
 
     An unknown code raises, or is dropped with ``on_missing='drop'``.
     """
-    table = codes.groupBy("code").agg(F.max("label").alias("label"))
+    table = codes.where("code IS NOT NULL").groupBy("code").agg(F.max("label").alias("label"))
     joined = rows.select(key, "code").join(small_side(table), "code", "left" if on_missing == "raise" else "inner")
     label = F.col("label")
     if on_missing == "raise":
-        label = F.coalesce(label, F.raise_error(F.concat(F.lit("unknown code "), F.col("code"))).cast("string"))
+        label = F.coalesce(label, F.raise_error(F.concat(F.lit("unknown code "), F.coalesce(F.col("code").cast("string"), F.lit("null")))).cast("string"))
     return joined.select(key, label.alias("label"))
 
 
-#: Largest code table that becomes a literal map.
-MAP_CODES = 10_000
-
-
 def map_code_lists(rows: DataFrame, codes: DataFrame, key: str = "id", on_missing: str = "raise") -> DataFrame:
-    """The same for ``id, codes`` rows with an array of codes: each row keeps its array, as ``labels``.
+    """The same for ``id, codes`` rows with an array of codes: each row keeps its array, as sorted ``labels``.
 
-    A code table that is proven small becomes a map and the rows do not move. A larger one maps every
-    distinct array once through a join.
+    Every distinct array is mapped once through the join of its codes. A null array stays null, an empty one empty; a
+    null code in an array is an unknown one, a null code in the table is ignored.
     """
-    table = codes.groupBy("code").agg(F.max("label").alias("label"))
-    found = table.limit(MAP_CODES + 1).collect()
-    if len(found) > MAP_CODES:
-        lists = rows.select("codes").distinct()
-        flat = lists.select(F.col("codes").alias("_codes"), F.explode("codes").alias("code"))
-        mapped = map_codes(flat, codes, "_codes", on_missing)
-        labelled = mapped.groupBy("_codes").agg(F.array_sort(F.collect_list("label")).alias("labels"))
-        joined = rows.join(labelled, F.col("codes") == F.col("_codes"), "left")
-        return joined.select(key, F.coalesce("labels", F.array().cast("array<string>")).alias("labels"))
-    lookup = F.create_map(*[F.lit(x) for r in found for x in (r["code"], r["label"])])
-    labels = F.transform("codes", lambda c: F.try_element_at(lookup, c))
-    if on_missing == "raise":
-        fail = F.raise_error(F.lit("unknown code in a list")).cast("array<string>")
-        labels = F.when(F.exists(labels, lambda x: x.isNull()), fail).otherwise(labels)
-    return rows.select(key, F.array_sort(F.array_compact(labels)).alias("labels"))
+    lists = rows.select("codes").distinct()
+    flat = lists.select(F.col("codes").alias("_codes"), F.explode("codes").alias("code"))
+    mapped = map_codes(flat, codes, "_codes", on_missing)
+    labelled = mapped.groupBy("_codes").agg(F.array_sort(F.collect_list("label")).alias("labels"))
+    joined = rows.join(labelled, F.col("codes") == F.col("_codes"), "left")
+    found = F.coalesce("labels", F.array().cast("array<string>"))
+    return joined.select(key, F.when(F.col("codes").isNotNull(), found).alias("labels"))
 
 
 def merge_audiences(

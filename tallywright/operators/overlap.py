@@ -24,7 +24,7 @@ def _names(lists: DataFrame, col: str, given: Sequence[str] | None) -> list[str]
     """Names in order; at most ``MASK_LISTS + 1`` reach the driver. None means "too many for a mask"."""
     if given is not None:
         return list(given) if len(given) <= MASK_LISTS else None
-    found = sorted(r[0] for r in lists.select(col).distinct().limit(MASK_LISTS + 1).collect())
+    found = sorted(r[0] for r in lists.where(F.col(col).isNotNull()).select(col).distinct().limit(MASK_LISTS + 1).collect())
     return found if len(found) <= MASK_LISTS else None
 
 
@@ -43,15 +43,26 @@ def _unpack(mask: Column, names: Sequence[str]) -> Column:
     )
 
 
+def _asked(lists: DataFrame, col: str, given: Sequence[str] | None) -> DataFrame:
+    """Rows of the lists asked for, with a value. A list without a name is none; with names given others are ignored."""
+    named = lists.select(col, "value").where(F.col(col).isNotNull() if given is None else F.col(col).isin(list(given)))
+    return drop_blank_normalised(named, "value")
+
+
+def _in_order(members: Column, given: Sequence[str] | None) -> Column:
+    """A set in the order given, or by name."""
+    return F.array_sort(members) if given is None else F.filter(F.array(*[F.lit(n) for n in given]), lambda x: F.array_contains(members, x))
+
+
 def combinations(lists: DataFrame, names: Sequence[str] | None = None) -> DataFrame:
     """``(list_name, value)`` rows to ``(members array, n)``: values per exact set of lists."""
-    clean = drop_blank_normalised(lists.select("list_name", "value"), "value")
+    clean = _asked(lists, "list_name", names)
     known = _names(lists, "list_name", names)
     if known is not None:
         masks = clean.groupBy("value").agg(F.bit_or(_bit("list_name", known)).alias("mask"))
         counted = masks.groupBy("mask").agg(F.count(F.lit(1)).alias("n"))
         return compute_once(counted, _unpack(F.col("mask"), known).alias("members"), "n")
-    sets = clean.groupBy("value").agg(F.array_sort(F.collect_set("list_name")).alias("members"))
+    sets = clean.groupBy("value").agg(_in_order(F.collect_set("list_name"), names).alias("members"))
     return sets.groupBy("members").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -60,7 +71,7 @@ def _name_rows(lists: DataFrame, col: str, names: Sequence[str] | None, out: str
     if names is not None:
         spark = lists.sparkSession
         return spark.range(1).select(F.explode(F.array(*[F.lit(n) for n in names])).alias(out))
-    return lists.select(F.col(col).alias(out)).distinct()
+    return lists.where(F.col(col).isNotNull()).select(F.col(col).alias(out)).distinct()
 
 
 def overlap_counts(lists: DataFrame, names: Sequence[str] | None = None) -> DataFrame:
@@ -110,8 +121,7 @@ def coverage(
     """
     known_base = _names(base, "base_name", base_names)
     known_rungs = _names(ladder, "rung_name", rungs)
-    b = drop_blank_normalised(base.select("base_name", "value"), "value")
-    r = drop_blank_normalised(ladder.select("rung_name", "value"), "value")
+    b, r = _asked(base, "base_name", base_names), _asked(ladder, "rung_name", rungs)
     if known_base is not None and known_rungs is not None:
         zero = F.lit(0).cast("bigint")
         both = b.select("value", _bit("base_name", known_base).alias("b"), zero.alias("r")).unionByName(
@@ -125,13 +135,9 @@ def coverage(
         r.select("value", F.lit(None).cast("string").alias("base_name"), "rung_name")
     )
     per_value = both.groupBy("value").agg(
-        F.array_sort(F.collect_set("base_name")).alias("base_set"), F.array_sort(F.collect_set("rung_name")).alias("rung_set")
+        _in_order(F.collect_set("base_name"), base_names).alias("base_set"), _in_order(F.collect_set("rung_name"), rungs).alias("rung_set")
     )
-    counted = per_value.groupBy("base_set", "rung_set").agg(F.count(F.lit(1)).alias("n"))
-    if rungs is None:
-        return counted
-    in_order = F.filter(F.array(*[F.lit(n) for n in rungs]), lambda x: F.array_contains("rung_set", x))
-    return counted.select("base_set", in_order.alias("rung_set"), "n")
+    return per_value.groupBy("base_set", "rung_set").agg(F.count(F.lit(1)).alias("n"))
 
 
 def ladder_counts(

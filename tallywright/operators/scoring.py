@@ -151,9 +151,12 @@ def top_deciles(
     """Rows of the best deciles by score.
 
     ``deciles`` applies to all rows; ``choice`` (the group columns and ``deciles``) sets the number per
-    group, and a group it does not name is an error, like an unknown job.
+    group, and a group it does not name is an error, like an unknown job. A row without a score (null or
+    not a number) has no rank, whatever the number of deciles.
     """
     groups = list(group_cols)
+    number = F.col(score).cast("double")
+    df = df.where(number.isNotNull() & ~F.isnan(number))
     if choice is None and deciles is not None and deciles <= 10:
         # ten chunks never hold more rows than there are positive scores, so the others need no sorting
         positive = df.where(jround(score) > 0)

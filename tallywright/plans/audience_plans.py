@@ -103,8 +103,8 @@ def job_history_select(spark, d):
     body = F.to_json(
         F.struct(
             F.col("o_custkey").cast("string").alias("id"),
-            F.struct(F.struct(F.col("o_orderpriority").alias("segment")).alias("sparkianda")).alias("spark_job_server_submission"),
-            F.struct(F.concat(F.lit("https://s3.amazonaws.com/jobs/"), "o_orderkey").alias("base_uri")).alias("ianda_submission"),
+            F.struct(F.struct(F.col("o_orderpriority").alias("segment")).alias("selection")).alias("job_submission"),
+            F.struct(F.concat(F.lit("https://s3.amazonaws.com/jobs/"), "o_orderkey").alias("base_uri")).alias("export_submission"),
         )
     )
     docs = table(spark, d, "orders").select(F.from_json(body, readers.HISTORY_SCHEMA).alias("h"), F.col("o_orderkey").alias("pos"))

@@ -114,7 +114,7 @@ WITH s AS (SELECT p_partkey AS k, CASE WHEN p_partkey % 4 = 0 THEN '' ELSE p_nam
  j AS (SELECT s.*, 'part_' || k AS handle, m.s_name || ' & Co' AS m_name, CASE WHEN m.s_suppkey % 2 = 0 THEN 'Bio <' || m.s_suppkey || '>' END AS m_bio
   FROM s LEFT JOIN supplier AS m ON m.s_suppkey = s.k WHERE h <> 'no handle')
 SELECT handle, '{"name":"' || coalesce(m_name, nullif(title, ''), '@' || handle) || '","twitterHandle":"@' || handle || '","twitterBio":"' || coalesce(m_bio, '') ||
- '","instagramMMTitle":' || coalesce('"' || nullif(title, '') || '"', 'null') || ',"instagramMMId":' || coalesce('"' || nullif(id, '') || '"', 'null') || '}' AS payload FROM j
+ '","mediaTitle":' || coalesce('"' || nullif(title, '') || '"', 'null') || ',"mediaId":' || coalesce('"' || nullif(id, '') || '"', 'null') || '}' AS payload FROM j
 """)
 def seed_payload(spark, d):
     k = F.col("p_partkey")

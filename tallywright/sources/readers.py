@@ -120,8 +120,8 @@ def partition_boundary(names: DataFrame, col: str, base: str) -> DataFrame:
 
 # Fixed values (member names of a job document)
 HISTORY_SCHEMA = (
-    "id string, spark_job_server_submission struct<sparkianda: struct<segment: string>>, "
-    "ianda_submission struct<base_uri: string>"
+    "id string, job_submission struct<selection: struct<segment: string>>, "
+    "export_submission struct<base_uri: string>"
 )
 
 
@@ -135,8 +135,8 @@ def select_jobs(history: DataFrame, jobs: DataFrame, order: str = "pos", job: st
     """Listed jobs as ``label, base_uri``; the label is ``id-segment`` and the last document of a label wins."""
     listed = history.join(jobs.select(F.col(job).alias("id")).distinct(), "id", "left_semi")
     flat = listed.select(
-        F.concat_ws("-", "id", "spark_job_server_submission.sparkianda.segment").alias("label"),
-        F.col("ianda_submission.base_uri").alias("base_uri"),
+        F.concat_ws("-", "id", "job_submission.selection.segment").alias("label"),
+        F.col("export_submission.base_uri").alias("base_uri"),
         order,
     )
     return flat.groupBy("label").agg(F.max_by("base_uri", order).alias("base_uri"))

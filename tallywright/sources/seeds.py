@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions.exprs import first_non_empty, html_unescape, norm_handle
 
 # Fixed values (members of the payload)
-PAYLOAD_KEYS = ("name", "twitterHandle", "twitterBio", "instagramMMTitle", "instagramMMId")
+PAYLOAD_KEYS = ("name", "twitterHandle", "twitterBio", "mediaTitle", "mediaId")
 
 
 def seed_payload(seeds: DataFrame, meta: DataFrame | None = None) -> DataFrame:

@@ -150,7 +150,7 @@ def test_expressions(spark):
 def test_seed_payload(spark):
     rows = spark.createDataFrame([("", "@Bob", " 7"), ("T", "bad handle", "1")], "title string, handle string, id string")
     assert [r.payload for r in seeds.seed_payload(rows).collect()] == [
-        '{"name":"@bob","twitterHandle":"@bob","twitterBio":"","instagramMMTitle":null,"instagramMMId":"7"}'
+        '{"name":"@bob","twitterHandle":"@bob","twitterBio":"","mediaTitle":null,"mediaId":"7"}'
     ]
 
 

@@ -67,7 +67,7 @@ def test_dated_folders(spark, tmp_path):
 
 
 def test_history(spark, tmp_path):
-    doc = '{{"id": {0}, "spark_job_server_submission": {{"sparkianda": {{"segment": "{1}"}}}}, "ianda_submission": {{"base_uri": "{2}"}}}}'
+    doc = '{{"id": {0}, "job_submission": {{"selection": {{"segment": "{1}"}}}}, "export_submission": {{"base_uri": "{2}"}}}}'
     docs = [doc.format(1, "s", "u1"), doc.format(2, "s", "u2"), doc.format(1, "s", "u3")]
     p = _write(tmp_path / "h.json", "[" + ",\n".join(docs) + "]")
     jobs = spark.createDataFrame([("1",)], "id string")
