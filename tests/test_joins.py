@@ -154,9 +154,7 @@ def test_seed_payload(spark):
     ]
 
 
-@pytest.mark.parametrize("limit", [10_000, 1])
-def test_code_lists_keep_their_rows(spark, monkeypatch, limit):
-    monkeypatch.setattr(audience, "MAP_CODES", limit)
+def test_code_lists_keep_their_rows(spark):
     codes = spark.createDataFrame([("1", "one"), ("2", "two")], "code string, label string")
     rows = spark.createDataFrame([("a", ["1", "2"]), ("a", ["2", "2"]), ("b", []), ("c", ["1", "2"])], "id string, codes array<string>")
     got = sorted((r.id, r.labels) for r in audience.map_code_lists(rows, codes).collect())
