@@ -38,8 +38,9 @@ def _template_tokens(text: str) -> list[str]:
     return [t for t in "".join(c if c.isascii() and c.isalnum() else " " for c in text.lower()).split() if t]
 
 
-def found_licenses(files: DataFrame, near: float = NEAR) -> DataFrame:
-    """``line, license, score`` for each distinct line of ``files(text)`` whose cosine to a template is ``near`` or more.
+def found_licenses(files: DataFrame, near: float = NEAR) -> tuple[DataFrame, list[str]]:
+    """``line, license, score`` for each distinct line of ``files(text)`` whose cosine to a template is ``near`` or more, and
+    the rarer words of the templates.
 
     Document frequencies of the templates' words are counted over all files. Lines that hold none of the rarer words cannot
     reach ``near``: what the other words contribute to a template's length is below it, which the choice of
@@ -62,7 +63,8 @@ def found_licenses(files: DataFrame, near: float = NEAR) -> DataFrame:
         tried = common | {term}
         if all(sum(w * w for i, _, t, w in vectors if i == k and t in tried) < (0.98 * near) ** 2 for k in range(len(TEMPLATES))):
             common = tried
-    rare = F.array(*[F.lit(t) for t in vocabulary if t not in common])
+    rarer = [t for t in vocabulary if t not in common]
+    rare = F.array(*[F.lit(t) for t in rarer])
     lines = files.select(F.explode(F.split("text", "\n")).alias("line")).where(F.arrays_overlap(tokens_of(F.col("line")), rare)).distinct()
     template = F.broadcast(spark.createDataFrame(vectors, "template int, license string, term string, part double"))
     idf = F.broadcast(spark.createDataFrame(list(weight.items()), "term string, idf double"))
@@ -72,7 +74,7 @@ def found_licenses(files: DataFrame, near: float = NEAR) -> DataFrame:
     dot = terms.join(template, "term").groupBy("line", "template", "license").agg(F.sum(F.col("w") * F.col("part")).alias("dot"))
     scored = dot.join(length, "line").select("line", "license", F.round(F.col("dot") / F.col("length"), 6).alias("score")).where(F.col("score") >= near)
     best = scored.groupBy("line").agg(F.max(F.struct("score", "license")).alias("b"))
-    return best.select("line", "b.license", "b.score")
+    return best.select("line", "b.license", "b.score"), rarer
 
 
 def scanned(files: DataFrame, near: float = NEAR) -> DataFrame:
@@ -85,9 +87,11 @@ def scanned(files: DataFrame, near: float = NEAR) -> DataFrame:
     """
     keep = [c for c in files.columns if c not in ("text", "own_license", "score", "license", "inherited_from")]
     rows = files.withColumn("_key", F.xxhash64(F.coalesce("path", F.lit("")), text_key()))
-    best = durable(found_licenses(files.select("text"), near))
+    found, rarer = found_licenses(files.select("text"), near)
+    best = durable(found)
     lines = rows.where("text IS NOT NULL").select("_key", F.explode(F.split("text", "\n")).alias("line"))
-    hits = lines.where(F.col("line").rlike("(?i)" + "|".join(sorted({t for _, x in TEMPLATES for t in _template_tokens(x) if len(t) > 5}))))
+    one_of = rf"(?<![a-z0-9])({'|'.join(rarer)})(?![a-z0-9])"  # every line of ``best`` holds one
+    hits = lines.where(F.lower("line").rlike(one_of))
     own = hits.join(small_side(best), "line").groupBy("_key").agg(F.max(F.struct("score", "license")).alias("own"))
     known = durable(rows.select(*keep, "_key").join(own, "_key", "left"))
 

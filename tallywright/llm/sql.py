@@ -1,3 +1,77 @@
-"""SQL statements of the rules that SQL can express."""
+"""SQL statements of the rules that SQL can express: the same results by brute force, without index or pruning."""
 
-STATEMENTS: dict[str, str] = {}
+from __future__ import annotations
+
+from .licenses import NEAR, TEMPLATES
+
+_WORDS = "regexp_extract_all(lower({}), '[a-z0-9]+')".format
+_TEMPLATES = ",\n ".join(f"({i}, '{name}', '{text}')" for i, (name, text) in enumerate(TEMPLATES))
+
+LICENSE_SCAN = rf"""
+WITH top AS (
+ SELECT doc_id, text, row_number() OVER () AS rid, coalesce(source, 'unknown') || '/' || coalesce(lang, 'unknown') AS top FROM documents),
+files AS (
+ SELECT doc_id, rid, text, CASE WHEN doc_id % 4096 = 0 THEN top || '/LICENSE.' || doc_id
+  WHEN doc_id % 64 = 0 THEN top || '/shelf-' || (doc_id // 64) || '/LICENSE'
+  ELSE top || '/shelf-' || (doc_id // 64) || '/' || doc_id || '.txt' END AS path FROM top),
+template(template, license, text) AS (VALUES
+ {_TEMPLATES}),
+tt AS (SELECT template, license, term, count(*) AS n FROM (SELECT template, license, unnest({_WORDS("text")}) AS term FROM template) GROUP BY ALL),
+held AS (SELECT term, count(*) AS files FROM (SELECT DISTINCT rid, unnest({_WORDS("text")}) AS term FROM files) GROUP BY term),
+idf AS (
+ SELECT v.term, ln((1 + (SELECT count(*) FROM files)) / (1 + coalesce(h.files, 0))) + 1e-9 AS w
+ FROM (SELECT DISTINCT term FROM tt) AS v LEFT JOIN held AS h USING (term)),
+tv AS (SELECT template, license, term, n * w / sqrt(sum(n * w * n * w) OVER (PARTITION BY template)) AS part FROM tt JOIN idf USING (term)),
+lines AS (SELECT DISTINCT unnest(string_split(text, chr(10))) AS line FROM files),
+lt AS (SELECT line, term, count(*) * any_value(w) AS w FROM (SELECT line, unnest({_WORDS("line")}) AS term FROM lines) JOIN idf USING (term) GROUP BY line, term),
+size AS (SELECT line, sqrt(sum(w * w)) AS size FROM lt GROUP BY line),
+dot AS (SELECT line, template, license, sum(w * part) AS dot FROM lt JOIN tv USING (term) GROUP BY line, template, license),
+best AS (
+ SELECT line, max({{'score': round(dot / size, 6), 'license': license}}) AS b FROM dot JOIN size USING (line)
+ WHERE round(dot / size, 6) >= {NEAR} GROUP BY line),
+own AS (SELECT rid, max(b) AS own FROM (SELECT rid, unnest(string_split(text, chr(10))) AS line FROM files) JOIN best USING (line) GROUP BY rid),
+known AS (SELECT f.doc_id, f.rid, f.path, regexp_replace(f.path, '/?[^/]*$', '') AS folder, o.own FROM files AS f LEFT JOIN own AS o USING (rid)),
+marked AS (
+ SELECT folder AS up, max(own) AS of_up FROM known
+ WHERE own IS NOT NULL AND regexp_matches(path, '(?i)(^|/)(licen[cs]e|copying|notice)([._-][^/]*)?$') GROUP BY folder),
+near AS (
+ SELECT k.rid, max({{'n': length(m.up), 'up': m.up, 'of_up': m.of_up}}) AS near
+ FROM known AS k JOIN marked AS m ON m.up = '' OR k.folder = m.up OR starts_with(k.folder, m.up || '/') WHERE k.own IS NULL GROUP BY k.rid)
+SELECT k.doc_id, k.path, k.own.license AS own_license, coalesce(k.own.score, n.near.of_up.score) AS score,
+ coalesce(k.own.license, n.near.of_up.license) AS license, n.near.up AS inherited_from
+FROM known AS k LEFT JOIN near AS n USING (rid)
+"""
+
+TOP_K_SEARCH = r"""
+WITH docs AS (SELECT row_number() OVER () AS rid, doc_id,
+ regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS words FROM documents WHERE doc_id IS NOT NULL),
+size AS (SELECT count(*) AS docs, sum(len(words)) / count(*) AS mean FROM docs),
+tf AS (SELECT rid, doc_id, len, term, count(*) AS n FROM (SELECT rid, doc_id, len(words) AS len, unnest(words) AS term FROM docs) GROUP BY ALL),
+idf AS (SELECT term, ln(1 + ((SELECT docs FROM size) - count(*) + 0.5) / (count(*) + 0.5)) AS idf FROM tf GROUP BY term),
+asked AS (SELECT doc_id AS query_id, term, n AS times FROM tf WHERE doc_id % 50 = 0),
+scored AS (
+ SELECT query_id, rid, doc_id, round(sum(times * idf * n * 2.2 / (n + 1.2 * (0.25 + 0.75 * len / mean))), 6) AS score
+ FROM asked JOIN idf USING (term) JOIN tf USING (term), size WHERE doc_id <> query_id GROUP BY query_id, rid, doc_id),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id) AS rank FROM scored WHERE score > 0)
+SELECT query_id, CAST(rank AS INT) AS rank, doc_id, score FROM ranked WHERE rank <= 10
+"""
+
+URL_FILTER = r"""
+WITH rest AS (SELECT page_id, regexp_extract(coalesce(url, ''), '(?s)^.*?://(.*)$', 1) AS rest FROM pages),
+parts AS (
+ SELECT page_id, translate(regexp_extract(rest, '(?s)^([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+  regexp_extract(rest, '(?s)^[^/?#]*([^?#]*)', 1) AS path FROM rest),
+named AS (
+ SELECT *, '//' || host || path AS place, CASE
+  WHEN (host = 'example.net' OR ends_with(host, '.example.net')) AND starts_with(path, '/en/') THEN 'example.net/en/'
+  WHEN (host = 'example.com' OR ends_with(host, '.example.com')) AND starts_with(path, '/de/') THEN 'example.com/de/'
+  WHEN (host = 'org' OR ends_with(host, '.org')) AND starts_with(path, '/fr/') THEN 'org/fr/'
+  WHEN (host = 'net' OR ends_with(host, '.net')) AND starts_with(path, '/') THEN 'net/' END AS rule FROM parts)
+SELECT page_id, host, path, rule, CASE
+ WHEN rule IN ('example.net/en/', 'org/fr/') THEN 'allow' WHEN rule IS NOT NULL THEN 'block'
+ WHEN regexp_matches(place, '^//([^/]*[.-])?(spam-farm[.]|casino[.-]|adult[.-])') OR regexp_matches(place, '/(login|cart)(/|$)|/cgi-bin/|/wp-admin/')
+ THEN 'block' ELSE 'allow' END AS verdict
+FROM named
+"""
+
+STATEMENTS: dict[str, str] = {"op2_license_scan": LICENSE_SCAN, "op3_top_k_search": TOP_K_SEARCH, "op5_url_filter": URL_FILTER}

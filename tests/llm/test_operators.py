@@ -252,7 +252,7 @@ def test_licenses(spark):
     files = [
         ("a/LICENSE", "Released under the MIT License."), ("a/b/x.py", "code"), ("a/b/y.py", "Licensed under CC BY-NC 4.0.\ncode"),
         ("c/COPYING", "hello"), ("c/z", None), ("a/b/c/LICENSE.txt", "x\nLicensed under the Apache License, Version 2.0."), ("a/b/c/d/e/f", ""),
-        ("root", "the license of the version"), (None, "Released under the MIT License."), (None, None), ("a/b/x.py", "code"),
+        ("root", "the license of the version"), (None, "Released under the MIT License."), (None, None), ("a/b/x.py", "code"), ("short", "CC BY-NC 4.0"),
     ]
     df = spark.createDataFrame([(p, t, 1, "x") for p, t in files], "path string, text string, n int, line string")
     got = Counter((r.path, r.own_license, r.license, r.inherited_from) for r in licenses.scanned(df).collect())
@@ -261,6 +261,7 @@ def test_licenses(spark):
             ("a/LICENSE", "MIT", "MIT", None), ("a/b/x.py", None, "MIT", "a"), ("a/b/x.py", None, "MIT", "a"), ("a/b/y.py", "CC-BY-NC-4.0", "CC-BY-NC-4.0", None),
             ("c/COPYING", None, None, None), ("c/z", None, None, None), ("a/b/c/LICENSE.txt", "Apache-2.0", "Apache-2.0", None),
             ("a/b/c/d/e/f", None, "Apache-2.0", "a/b/c"), ("root", None, None, None), (None, "MIT", "MIT", None), (None, None, None, None),
+            ("short", "CC-BY-NC-4.0", "CC-BY-NC-4.0", None),
         ]
     )
     assert licenses.scanned(df.limit(0)).count() == 0
