@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 from functools import reduce
+from html.entities import name2codepoint
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -13,18 +14,6 @@ HANDLE_PATTERN = r"^@?([a-z0-9_]{1,15})$"
 PROFILE_URL_PREFIX = "https://twitter.com/"
 PROFILE_URL_BY_ID = "https://twitter.com/intent/user?user_id="
 
-# Fixed values (entities that are unescaped; the ampersand comes last)
-ENTITIES = (
-    ("&lt;", "<"),
-    ("&gt;", ">"),
-    ("&quot;", '"'),
-    ("&#39;", "'"),
-    ("&apos;", "'"),
-    ("&nbsp;", " "),
-    ("&amp;", "&"),
-)
-
-
 def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
@@ -77,8 +66,35 @@ def handle_url(c: Column | str) -> Column:
     return F.concat(F.lit(PROFILE_URL_PREFIX), F.coalesce(norm_handle(c), F.lit("")))
 
 
+def _named_entities() -> Column:
+    """Code points of the named HTML 4 entities."""
+    return F.create_map(*[F.lit(x) for pair in sorted(name2codepoint.items()) for x in pair])
+
+
+def _unescaped(piece: Column, named: Column) -> Column:
+    """What follows an ampersand, with the reference it may start with resolved; else as it was."""
+    name = F.regexp_extract(piece, r"\A([A-Za-z][A-Za-z0-9]*);", 1)
+    decimal = F.regexp_extract(piece, r"\A#0*([0-9]{1,7});", 1)
+    hexadecimal = F.regexp_extract(piece, r"\A#[xX]0*([0-9A-Fa-f]{1,6});", 1)
+    code = F.coalesce(
+        F.try_element_at(named, name),
+        F.nullif(decimal, F.lit("")).cast("int"),
+        F.conv(F.nullif(hexadecimal, F.lit("")), 16, 10).cast("int"),
+    )
+    valid = code.between(0, 0x10FFFF) & ~code.between(0xD800, 0xDFFF)
+    char = F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")
+    return F.when(valid, F.concat(char, F.regexp_replace(piece, r"\A[^;]*;", ""))).otherwise(F.concat(F.lit("&"), piece))
+
+
 def html_unescape(c: Column | str) -> Column:
-    return reduce(lambda acc, e: F.replace(acc, F.lit(e[0]), F.lit(e[1])), ENTITIES, _col(c))
+    """Named HTML 4, decimal and hexadecimal character references resolved in one pass from left to right.
+
+    A reference needs its semicolon; an unknown name, a surrogate or a number beyond Unicode stays as it is, and what a
+    reference yields is not read again.
+    """
+    pieces, named = F.split(_col(c), "&"), _named_entities()
+    rest = F.slice(pieces, F.lit(2), F.greatest(F.size(pieces) - 1, F.lit(0)))
+    return F.array_join(F.concat(F.slice(pieces, 1, 1), F.transform(rest, lambda p: _unescaped(p, named))), "")
 
 
 def ascii_only(c: Column | str) -> Column:

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.exprs import PROFILE_URL_PREFIX
-from ..runtime import small_side
+from ..runtime import durable, small_side
 
 
 def map_codes(rows: DataFrame, codes: DataFrame, key: str = "id", on_missing: str = "raise") -> DataFrame:
@@ -15,7 +15,7 @@ def map_codes(rows: DataFrame, codes: DataFrame, key: str = "id", on_missing: st
     An unknown code raises, or is dropped with ``on_missing='drop'``.
     """
     table = codes.where("code IS NOT NULL").groupBy("code").agg(F.max("label").alias("label"))
-    joined = rows.select(key, "code").join(small_side(table), "code", "left" if on_missing == "raise" else "inner")
+    joined = rows.select(key, "code").join(small_side(durable(table)), "code", "left" if on_missing == "raise" else "inner")
     label = F.col("label")
     if on_missing == "raise":
         label = F.coalesce(label, F.raise_error(F.concat(F.lit("unknown code "), F.coalesce(F.col("code").cast("string"), F.lit("null")))).cast("string"))

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions.exprs import pct_change
 from ..runtime import compute_once, durable, rows_of, small_side
+from .rank import ordered
 
 STATUSES = ("added", "deleted", "constant", "changed")
 UNKNOWN = "Unk"
@@ -217,12 +218,8 @@ def transition_counts(
     titles = displayed_fields(dictionary, [c for c in new.columns if c != key], category)
     changes = field_changes(old, new, key, list(titles), expand)
     counted = changes.groupBy("field", "old_code", "new_code", "coded").agg(F.count(F.lit(1)).alias("n"))
-    return (
-        _labelled(counted, dictionary, titles, category)
-        .groupBy("field_label", "old_label", "new_label")
-        .agg(F.sum("n").cast("bigint").alias("n"))
-        .orderBy("field_label", "old_label", "new_label")
-    )
+    labels = ["field_label", "old_label", "new_label"]
+    return ordered(_labelled(counted, dictionary, titles, category).groupBy(*labels).agg(F.sum("n").cast("bigint").alias("n")), *labels)
 
 
 def regression_check(old: DataFrame, new: DataFrame, checks: Sequence[tuple[str, float]]) -> DataFrame:

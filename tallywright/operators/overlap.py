@@ -164,24 +164,21 @@ def ladder_counts(
     )
 
 
-def base_sizes(
-    base: DataFrame, ladder: DataFrame, base_names: Sequence[str] | None = None, rungs: Sequence[str] | None = None
-) -> DataFrame:
+def _sizes(lists: DataFrame, col: str, names: Sequence[str] | None) -> DataFrame:
+    """Distinct size of each list, zero for one without values."""
+    one = F.lit(1).cast("bigint").alias("n")
+    zero = _name_rows(lists, col, names, col).select(col, F.lit(0).cast("bigint").alias("n"))
+    return _asked(lists, col, names).distinct().select(col, one).unionByName(zero).groupBy(col).agg(F.sum("n").alias("size"))
+
+
+def base_sizes(base: DataFrame, base_names: Sequence[str] | None = None) -> DataFrame:
     """Distinct size of each base list."""
-    base_names = base_names if base_names is not None else _names(base, "base_name", None)
-    found = coverage(base, ladder, base_names, rungs).select(F.explode("base_set").alias("base_name"), "n")
-    zero = _name_rows(base, "base_name", base_names, "base_name").select("base_name", F.lit(0).cast("bigint").alias("n"))
-    return found.unionByName(zero).groupBy("base_name").agg(F.sum("n").cast("bigint").alias("size"))
+    return _sizes(base, "base_name", base_names)
 
 
-def ladder_sizes(
-    base: DataFrame, ladder: DataFrame, base_names: Sequence[str] | None = None, rungs: Sequence[str] | None = None
-) -> DataFrame:
+def ladder_sizes(ladder: DataFrame, rungs: Sequence[str] | None = None) -> DataFrame:
     """Distinct size of each rung, also of values no base list holds."""
-    rungs = rungs if rungs is not None else _names(ladder, "rung_name", None)
-    found = coverage(base, ladder, base_names, rungs).select(F.explode("rung_set").alias("rung_name"), "n")
-    zero = _name_rows(ladder, "rung_name", rungs, "rung_name").select("rung_name", F.lit(0).cast("bigint").alias("n"))
-    return found.unionByName(zero).groupBy("rung_name").agg(F.sum("n").cast("bigint").alias("size"))
+    return _sizes(ladder, "rung_name", rungs)
 
 
 def ladder_report(

@@ -7,11 +7,11 @@ be told from missing fields.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.exprs import norm_handle, pretty_title
-from ..runtime import compute_once, rows_of
+from ..runtime import compute_once, durable, rows_of
 
 PROFILES_PATH = "$.socialProfiles"  # fixed value: name of the array in the document
 
@@ -123,11 +123,10 @@ def profile_pair_counts(parsed: DataFrame, strict: bool = False) -> DataFrame:
 
 def token_percent(counts: DataFrame) -> DataFrame:
     """``per_<token>`` in percent of all records, for every token with an underscore."""
-    records = F.max(F.when(F.col("token") == "records", F.col("n"))).over(Window.partitionBy())
-    marked = counts.withColumn("_records", records).where(F.col("token").contains("_"))
-    return marked.select(
-        F.concat(F.lit("per_"), F.col("token")).alias("token"),
-        (F.col("n").cast("double") * 100 / F.col("_records")).alias("pct"),
+    counts = durable(counts)  # the number of records comes from the same rows
+    records = counts.where(F.col("token") == "records").agg(F.max("n")).scalar()
+    return counts.where(F.col("token").contains("_")).select(
+        F.concat(F.lit("per_"), F.col("token")).alias("token"), (F.col("n").cast("double") * 100 / records).alias("pct")
     )
 
 

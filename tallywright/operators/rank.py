@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..runtime import durable, null_safe
+from ..runtime import durable, null_safe, small_side
 
 _IN_PARTITION = 33  # monotonically_increasing_id keeps the row number in its low 33 bits
 
@@ -33,8 +33,7 @@ def global_rank(df: DataFrame, order: Sequence[Column], group_cols: Sequence[str
     before = Window.partitionBy(*groups).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     shift = (F.coalesce(F.sum("_n").over(before), F.lit(0)) - F.col("_first") + 1).alias("_shift")
     shifts = runs.select(F.col("_part").alias("_p"), *[F.col(g).alias(f"_g_{g}") for g in groups], shift)
-    if not groups:
-        shifts = F.broadcast(shifts)  # one row per partition of the sorted frame
+    shifts = small_side(durable(shifts))  # one row per partition of the sorted frame (and group): no second shuffle while few
     joined = placed.alias("r").join(
         shifts.alias("s"), null_safe("r", "s", [("_part", "_p")] + [(g, f"_g_{g}") for g in groups])
     )

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.exprs import PROFILE_URL_BY_ID, jround, trunc_to
-from ..runtime import rows_of, small_side
+from ..runtime import durable, rows_of, small_side
 from .histogram import BOUNDS_3M, BOUNDS_500K, bucket_of, labels
 from .rank import global_rank
 
@@ -66,10 +66,10 @@ def score_bands(
 
 
 def _per_group(df: DataFrame, table: DataFrame, groups: list[str]) -> DataFrame:
-    """Columns of a table with one row per group next to each row of that group."""
+    """Columns of a table with one row per group next to each row of that group; the table is made once."""
     right = table.select(*[F.col(g).alias(f"_g_{g}") for g in groups], *[c for c in table.columns if c not in groups])
     same = [F.col(g).eqNullSafe(F.col(f"_g_{g}")) for g in groups]
-    return df.join(small_side(right), same).drop(*[f"_g_{g}" for g in groups])
+    return df.join(small_side(durable(right)), same).drop(*[f"_g_{g}" for g in groups])
 
 
 def above_mean_plus_sd(df: DataFrame, score: str, group_cols: Sequence[str] = ()) -> DataFrame:

@@ -47,12 +47,11 @@ def expr_handles(spark, d):
 
 
 @query("expr_html_unescape", """
-SELECT page_id, replace(replace(replace(replace(replace(replace(replace(regexp_extract(html, '<title>(.*?)</title>', 1, 's'),
- '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#39;', chr(39)), '&apos;', chr(39)), '&nbsp;', ' '), '&amp;', '&') AS title FROM pages
+SELECT page_id, md5(replace(replace(replace(replace(replace(replace(replace(html, '&middot;', chr(183)), '&copy;', chr(169)),
+ '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&nbsp;', chr(160)), '&amp;', '&')) AS html_md5 FROM pages
 """)
 def expr_html_unescape(spark, d):
-    title = F.regexp_extract("html", "(?s)<title>(.*?)</title>", 1)
-    return table(spark, d, "pages").select("page_id", exprs.html_unescape(title).alias("title"))
+    return table(spark, d, "pages").select("page_id", F.md5(exprs.html_unescape("html")).alias("html_md5"))
 
 
 @query("expr_clean_text", r"""

@@ -98,12 +98,12 @@ def ladder_totals(spark, d):
 
 @query("ladder_sizes", LADDER + "SELECT rung_name, CAST(count(*) AS BIGINT) AS size FROM r GROUP BY rung_name")
 def ladder_sizes(spark, d):
-    return overlap.ladder_sizes(segments(spark, d), order_rungs(spark, d))
+    return overlap.ladder_sizes(order_rungs(spark, d))
 
 
 @query("ladder_base_sizes", LADDER + "SELECT base_name, CAST(size AS BIGINT) AS size FROM sizes")
 def ladder_base_sizes(spark, d):
-    return overlap.base_sizes(segments(spark, d), order_rungs(spark, d))
+    return overlap.base_sizes(segments(spark, d))
 
 
 @query("ladder_powerset", LADDER + """

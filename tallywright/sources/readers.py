@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from ..functions.exprs import _col, drop_commas
 from ..operators.profiles import parse_profiles
+from ..runtime import durable, small_side
 
 
 def _strings(names: Sequence[str]) -> T.StructType:
@@ -102,7 +103,11 @@ def resolve_dated(spark: SparkSession, base: str, pattern: str | None = r"[0-9]{
 
 
 def latest_partition(df: DataFrame, dt: str) -> DataFrame:
-    """Rows of the newest partition; the value is found first, so the scan is pruned to it."""
+    """Rows of the newest partition.
+
+    The value is found first, by an aggregate over ``dt``: the scan is pruned to it where ``dt`` is a partition column. Of
+    dated folders ``resolve_dated`` finds the newest by listing, without reading any.
+    """
     return df.where(F.col(dt) == df.agg(F.max(dt)).scalar())
 
 
@@ -157,10 +162,28 @@ def split_object_uri(uri: Column | str, host: str = OBJECT_HOST) -> Column:
     return F.struct(F.when(F.coalesce(bucket, F.lit("")) == "", fail).otherwise(bucket).alias("bucket"), rest.alias("path"))
 
 
+def _bare(path: Column) -> Column:
+    """A path without its scheme, as files and labels are compared."""
+    return F.regexp_replace(F.coalesce(F.try_url_decode(path), path), "^[a-z0-9]+:/*", "/")
+
+
 def read_named(spark: SparkSession, paths: dict[str, str]) -> DataFrame:
-    """Lines of many named files in one distributed scan: ``name, value``."""
-    labels = spark.createDataFrame([(n, p.rstrip("/").split("/")[-1], p) for n, p in paths.items()], "name string, leaf string, path string")
-    lines = spark.read.text(list(paths.values())).select("value", F.col("_metadata.file_path").alias("file"))
-    bare = lambda c: F.regexp_replace(F.url_decode(c), "^[a-z0-9]+:/*", "/")
-    keyed = labels.select("name", bare(F.col("path")).alias("at"))
-    return lines.withColumn("at", bare(F.col("file"))).join(F.broadcast(keyed), "at").select("name", "value")
+    """Lines of many named files or folders in one distributed scan: ``name, value``.
+
+    A label stands for the file at its path or for all files below it. Every file is labelled once, by its own path
+    and those above it; a label without a file is an error.
+    """
+    where = F.col("_metadata.file_path")
+    labels = spark.createDataFrame(list(paths.items()), "name string, path string").select("name", F.regexp_replace(_bare(F.col("path")), "/+$", "").alias("at"))
+    folders = {p.rstrip("/") + "/" for p in paths.values()}
+    roots = sorted({p for p in paths.values() if not any(p.startswith(f) and p.rstrip("/") + "/" != f for f in folders)})  # each file once
+    read = spark.read.option("recursiveFileLookup", True)
+    files = read.format("binaryFile").load(roots).select(where.alias("file"))  # lists the files, reads none
+    steps = F.split(_bare(F.col("file")), "/")
+    above = F.transform(F.sequence(F.lit(1), F.size(steps)), lambda n: F.array_join(F.slice(steps, F.lit(1), n), "/"))
+    labelled = durable(files.distinct().select("file", F.explode(above).alias("at")).join(labels, "at").select("file", "name"))
+    lost = [r["name"] for r in labels.select("name").join(labelled, "name", "left_anti").collect()]
+    if lost:
+        raise FileNotFoundError(f"no file for {', '.join(sorted(lost))}")
+    lines = read.text(roots).select("value", where.alias("file"))
+    return lines.join(small_side(labelled), "file").select("name", "value")

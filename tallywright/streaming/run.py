@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import time
+from collections.abc import Callable, Iterable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -13,23 +14,18 @@ Batch = Callable[[DataFrame, int], None]
 PRINT_SECONDS = 600  # fixed value: pause between progress prints
 
 
-def rate_options(kind: str, rate: int, receivers: int = 1, batch_seconds: int = 1) -> dict[str, str]:
-    """Source options for a total of ``rate`` records per second, shared by the receivers.
+def rate_options(kind: str, rate: int, batch_seconds: int = 1, records_per_file: int = 1) -> dict[str, str]:
+    """Source options for at most ``rate`` records per second over all partitions of the source.
 
-    Spark has no per-receiver rate any more; the limit becomes the size of a batch. The floor is a quarter of
-    the share of one receiver, between 1 and 100 records per second.
+    Spark has no per-receiver rate any more; the limit becomes the size of a batch. There is no floor: a source that
+    waits for a least number of records would stall when few arrive.
     """
-    share = rate // receivers
-    floor = int(min(100, max(1, 0.25 * share)))
     if kind == "rate":
         return {"rowsPerSecond": str(rate)}
     if kind == "kafka":
-        return {
-            "maxOffsetsPerTrigger": str(rate * batch_seconds),
-            "minOffsetsPerTrigger": str(floor * receivers * batch_seconds),
-        }
+        return {"maxOffsetsPerTrigger": str(rate * batch_seconds)}
     if kind == "files":
-        return {"maxFilesPerTrigger": str(max(1, rate))}
+        return {"maxFilesPerTrigger": str(max(1, rate * batch_seconds // records_per_file))}
     raise ValueError(f"no rate option for source {kind!r}")
 
 
@@ -46,8 +42,9 @@ def run_stream(
     """Run a stream into ``each_batch(df, batch_id)``.
 
     Without ``batch_seconds`` everything available is processed and the query ends by itself. With it a batch
-    starts at that interval, until ``stop_after`` seconds have passed or forever. The progress lives in
-    ``checkpoint``; a batch may be repeated after a failure, so the sink should be idempotent per batch id.
+    starts at that interval, until ``stop_after`` seconds have passed or forever; a batch that runs then is
+    finished first. The progress lives in ``checkpoint``; a batch may be repeated after a failure, so the sink should be
+    idempotent per batch id.
     """
     writer = stream.writeStream.foreachBatch(each_batch).outputMode(output_mode).option("checkpointLocation", checkpoint)
     if name:
@@ -56,36 +53,54 @@ def run_stream(
     query = writer.trigger(**trigger).start()
     finished = query.awaitTermination(stop_after) if stop_after is not None else query.awaitTermination()
     if finished is False:
+        _finish_batch(query)
         query.stop()
     return query
 
 
+def _finish_batch(query: StreamingQuery) -> None:
+    """Wait until no batch runs, or until the one that ran is done and the next has only just begun."""
+    before = query.lastProgress
+    while query.isActive and query.status["isTriggerActive"]:
+        now = query.lastProgress
+        if now is not None and (before is None or now.batchId != before.batchId):
+            return
+        query.awaitTermination(0.1)
+
+
 def count_stream(stream: DataFrame, *cols: str) -> DataFrame:
     """Running counts per group; the state is one row per group."""
     return stream.groupBy(*cols).agg(F.count(F.lit(1)).alias("n"))
 
 
-def counting_batches(counters: dict[str, str], into: dict[str, int], each_batch: Batch | None = None, show: Callable[[str], None] | None = None, every: float = PRINT_SECONDS) -> Batch:
+def counting_batches(
+    counters: dict[str, str],
+    folder: str,
+    each_batch: Batch | None = None,
+    show: Callable[[str], None] | None = None,
+    every: float = PRINT_SECONDS,
+) -> Batch:
     """A batch function that keeps named counters (SQL predicates) over the batches of a run.
 
-    Counts are added per batch id, so a repeated batch does not count twice. ``show`` receives a line at
-    most every ``every`` seconds.
+    The counts of a batch are one row under ``folder``, named by the batch id and replaced when the batch is repeated:
+    they outlive a restart and count a batch once. ``show`` receives a line at most every ``every`` seconds.
     """
-    import time
-
-    done: set[int] = set()
     last = [time.monotonic()]
 
     def run(df: DataFrame, batch_id: int) -> None:
-        if batch_id not in done:
-            row = df.agg(*[F.count_if(F.expr(p)).alias(n) for n, p in counters.items()]).first()
-            for n in counters:
-                into[n] = into.get(n, 0) + row[n]
-            done.add(batch_id)
+        counted = df.agg(*[F.count_if(F.expr(p)).alias(n) for n, p in counters.items()])
+        counted.coalesce(1).write.mode("overwrite").parquet(f"{folder}/batch={batch_id}")
         if each_batch is not None:
             each_batch(df, batch_id)
         if show is not None and time.monotonic() - last[0] >= every:
-            show(", ".join(f"{n}={v}" for n, v in into.items()))
+            show(", ".join(f"{n}={v}" for n, v in counted_so_far(df.sparkSession, folder, counters).first().asDict().items()))
             last[0] = time.monotonic()
 
     return run
+
+
+def counted_so_far(spark: SparkSession, folder: str, counters: Iterable[str]) -> DataFrame:
+    """One row with the sum of each counter over all batches under ``folder``."""
+    names = list(counters)
+    stored = spark.read.schema(", ".join(f"`{n}` long" for n in names)).parquet(folder)
+    return stored.agg(*[F.sum(F.col(f"`{n}`")).alias(n) for n in names])

@@ -134,6 +134,16 @@ def test_small_side_is_checked(spark):
     assert not hinted(runtime.small_side(spark.range(10).withColumn("t", F.repeat(F.lit("x"), 1000)), max_chars=5000))
 
 
+def test_character_references(spark):
+    cases = {
+        "&eacute;&#233;&#xE9;&#x27;&copy;": "ééé'©", "&apos; &amp &nope; &": "&apos; &amp &nope; &", "&amp;amp;lt;": "&amp;lt;",
+        "a&nbsp;b": "a\u00a0b", "&#128512;&#x1F600;": "😀😀", "&#xD800;&#1114112;&#99999999;": "&#xD800;&#1114112;&#99999999;", "": "", "&lt;\n&gt;;": "<\n>;",
+    }
+    df = spark.createDataFrame([*cases.items(), (None, None)], "text string, want string").select(exprs.html_unescape("text").alias("got"), "want")
+    for row in df.collect():
+        assert row.got == row.want
+
+
 def test_expressions(spark):
     one = spark.range(1)
     got = one.select(

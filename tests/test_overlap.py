@@ -32,7 +32,7 @@ def test_ladder_order_is_the_given_one(spark):
     ladder = spark.createDataFrame([("x", "1"), ("x", "2"), ("y", "2"), ("y", "9")], "rung_name string, value string")
     got = {r.rung_name: r.n_new for r in overlap.ladder_counts(base, ladder, rungs=["y", "x", "z"]).collect()}
     assert got == {"y": 1, "x": 1, "z": 0}
-    sizes = {r.rung_name: r.size for r in overlap.ladder_sizes(base, ladder, rungs=["y", "x", "z"]).collect()}
+    sizes = {r.rung_name: r.size for r in overlap.ladder_sizes(ladder, rungs=["y", "x", "z"]).collect()}
     assert sizes == {"y": 2, "x": 2, "z": 0}
     assert overlap.ladder_totals(base, ladder).first().pct_total == 66.67
     sets = {tuple(r.rung_set): r.n for r in overlap.ladder_powerset(base, ladder, rungs=["y", "x"]).collect()}

@@ -93,6 +93,14 @@ def test_named_export(spark, tmp_path):
     sinks.export_named(readers.read_named(spark, paths), "name", str(tmp_path / "out"))
     back = spark.read.text(str(tmp_path / "out"))
     assert {tuple(r) for r in back.select("name", "value").collect()} == {("one", "a"), ("one", "b"), ("two", "c")}
+    _write(tmp_path / "in/deep/er/u.csv", "d\n")
+    folder = readers.read_named(spark, {"all": str(tmp_path / "in/deep"), "two": paths["two"]})
+    assert sorted(map(tuple, folder.collect())) == [("all", "d"), ("two", "c")]
+    both = readers.read_named(spark, {"in": str(tmp_path / "in"), "two": paths["two"]})
+    assert sorted(map(tuple, both.collect())) == [("in", "a"), ("in", "b"), ("in", "c"), ("in", "d"), ("two", "c")]
+    (tmp_path / "in/none").mkdir()
+    with pytest.raises(FileNotFoundError, match="none"):
+        readers.read_named(spark, {"none": str(tmp_path / "in/none"), "two": paths["two"]})
 
 
 def test_text_and_reports(spark, tmp_path):
@@ -127,9 +135,10 @@ def test_stream_with_counters(spark, tmp_path):
     stream = spark.readStream.schema("event_id long, ts timestamp, user_id long, event_type string, value double, props string").option(
         "pathGlobFilter", "events.parquet"
     ).parquet("/root/testdata/sf0.001")
-    into, lines = {}, []
-    batch = run.counting_batches({"all": "true", "clicks": "event_type = 'click'"}, into, show=lines.append, every=0)
-    run.run_stream(stream, batch, str(tmp_path / "cp"))
+    counters, folder, lines = {"all": "true", "clicks": "event_type = 'click'"}, str(tmp_path / "counts"), []
+    run.run_stream(stream, run.counting_batches(counters, folder, show=lines.append, every=0), str(tmp_path / "cp"))
+    run.run_stream(stream, run.counting_batches(counters, folder), str(tmp_path / "cp2"))  # the same batch ids again count once
+    into = run.counted_so_far(spark, folder, counters).first().asDict()
     events = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
     assert into == {"all": events.count(), "clicks": events.where("event_type = 'click'").count()}
     assert lines
@@ -143,8 +152,8 @@ def test_timed_stream_stops(spark, tmp_path):
 
 
 def test_rate_options():
-    assert run.rate_options("kafka", 1000, 4, 2) == {"maxOffsetsPerTrigger": "2000", "minOffsetsPerTrigger": "496"}
-    assert run.rate_options("kafka", 8, 4)["minOffsetsPerTrigger"] == "4"
+    assert run.rate_options("kafka", 1000, 2) == {"maxOffsetsPerTrigger": "2000"}
     assert run.rate_options("files", 3) == {"maxFilesPerTrigger": "3"}
+    assert run.rate_options("files", 500, 2, records_per_file=300) == {"maxFilesPerTrigger": "3"}
     with pytest.raises(ValueError):
         run.rate_options("socket", 1)
