@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
 
 import numpy as np
+import pandas as pd
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -13,7 +14,10 @@ from pyspark.sql import functions as F
 WORD = r"[^\x20\x09-\x0D]+"
 
 #: A worker forgets its memo beyond this many entries, so that memory stays bounded at any vocabulary.
-MEMO = 400_000
+MEMO = 100_000
+
+#: Characters of texts that a task works on at once; what it makes of them goes back to Spark before it goes on.
+CHARS_AT_ONCE = 1 << 20
 
 
 class WordHashes(dict):
@@ -53,6 +57,16 @@ def raw(text: object) -> bytes:
     return text.encode("utf-8", "surrogatepass") if isinstance(text, str) else b""
 
 
+def bounded(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """The same rows in frames of about ``CHARS_AT_ONCE`` characters of ``text`` and one more text at most."""
+    for f in frames:
+        size = np.fromiter((len(t) if isinstance(t, str) else 0 for t in f["text"]), np.int64, len(f))
+        part = np.cumsum(size) // CHARS_AT_ONCE
+        cut = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), len(f)]
+        for a, e in zip(cut, cut[1:]):
+            yield f.iloc[a:e]
+
+
 def text_key(text: str = "text") -> Column:
     """Tells rows with one doc_id and different texts apart."""
     return F.xxhash64(F.coalesce(F.col(text), F.lit("")))

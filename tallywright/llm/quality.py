@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..runtime import durable, small_side
-from .common import WORD_HASHES, only, raw, text_key, windows_hash
+from .common import WORD_HASHES, bounded, only, raw, text_key, windows_hash
 
 #: Characters counted as symbols (fixed by the rule).
 SYMBOLS = b"#*$%&|<>"
@@ -27,7 +27,7 @@ FLOORS = {"symbol_share": 0.08, "dup_line_share": 0.6, "repeat_share": 0.3, "wor
 
 
 def _measures(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for f in frames:
+    for f in bounded(frames):
         rows = []
         for t in f["text"]:
             data = raw(t)

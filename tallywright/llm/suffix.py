@@ -18,11 +18,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..runtime import durable
-from .common import mixed, only, raw, text_key
+from .common import bounded, mixed, only, raw, text_key
 
 WINDOW, GRAM = 100, 32
 #: Windows looked at together in one text; cells end there, longer texts are cut at no other cost.
-SEGMENT = 1 << 22
+SEGMENT = 1 << 18
 #: Bytes of cells in one suffix array.
 SHARD = 3_000_000
 #: An anchor with more classes than this is dealt by window instead of by anchor, so no task holds all of it.
@@ -229,13 +229,13 @@ def cells(data: bytes) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
 
 
 def _anchors(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for f in frames:
+    for f in bounded(frames):
         found = [h for t in f["text"] for _, _, h in cells(raw(t))]
         yield pd.DataFrame({"anchor": np.concatenate([*found, np.array([], np.uint64)]).view(np.int64)})
 
 
 def _cells(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for f in frames:
+    for f in bounded(frames):
         parts = []
         for d, k, t in zip(f["doc_id"], f["text_key"], f["text"], strict=True):
             data = raw(t)
@@ -258,7 +258,7 @@ def _cells(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def _bytes_of_cells(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for f in frames:
+    for f in bounded(frames):
         out = []
         for d, k, t, need in zip(f["doc_id"], f["text_key"], f["text"], f["need"], strict=True):
             data = raw(t)
@@ -269,7 +269,7 @@ def _bytes_of_cells(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def _windows_of_cells(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for f in frames:
+    for f in bounded(frames):
         out = []
         for d, k, t, need in zip(f["doc_id"], f["text_key"], f["text"], f["need"], strict=True):
             data = raw(t)
@@ -346,7 +346,7 @@ def merged(spans: np.ndarray) -> list[tuple[int, int]]:
 
 
 def _removed(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for f in frames:
+    for f in bounded(frames):
         rows = []
         for t, spans in zip(f["text"], f["spans"], strict=True):
             data = raw(t)

@@ -5,11 +5,12 @@ from collections import Counter, defaultdict
 
 import fixtures as fx
 import numpy as np
+import pandas as pd
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from tallywright.llm import licenses, mixing, near, packing, quality, search, suffix, tokens, toxicity, urls
+from tallywright.llm import common, licenses, mixing, near, packing, quality, search, suffix, tokens, toxicity, urls
 
 DATA = fx.rows()
 UNIQUE = [r for i, r in enumerate(DATA) if r not in DATA[:i]]
@@ -49,6 +50,15 @@ def test_mix_is_near_the_target(spark, seed):
     assert all(abs(r["sum(taken)"] - r.target) <= 25 for r in rows)
 
 
+def test_bounded_frames(monkeypatch):
+    monkeypatch.setattr(common, "CHARS_AT_ONCE", 10)
+    frame = pd.DataFrame({"text": ["a" * 4, None, "b" * 5, "c" * 30, "", "d", "e" * 9], "i": range(7)})
+    parts = list(common.bounded(iter([frame, frame[:0]])))
+    assert pd.concat(parts).equals(frame) and len(parts[-1]) == 0
+    sizes = [[len(t or "") for t in p["text"]] for p in parts]
+    assert all(sum(n) - max(n, default=0) <= 10 for n in sizes) and len(parts) == 4
+
+
 def test_repeats(spark, docs):
     got = suffix.without_repeats(docs).collect()
     want = fx.without_repeats(UNIQUE)
