@@ -19,11 +19,15 @@ WINDOW = 8
 #: Relative error of the sketch's quantiles.
 ERROR = 0.01
 GAMMA = (1 + ERROR) / (1 - ERROR)
-#: Groups with fewer rows than this use the merged sketch of their language, and a language that of all rows.
+#: Groups with fewer rows than this use the merged sketch of their language, a language that of all rows, and where all
+#: rows are fewer the constants below decide.
 LEAST = 200
-#: A row is rejected where a measure exceeds ``upper + SPREAD * (upper - middle)`` of its group, never below the floor.
-MIDDLE, UPPER, SPREAD = 0.5, 0.75, 6.0
-FLOORS = {"symbol_share": 0.08, "dup_line_share": 0.6, "repeat_share": 0.3, "word_length": 14.0}
+#: A row is rejected where a measure exceeds its group's ``TAIL`` quantile by more than the allowance, which leaves measures
+#: that are mostly 0 a limit. Sketches hold the rows that pass the base rule; up to ``1 - TAIL`` of them may be bad
+#: without moving the limit.
+TAIL = 0.85
+ALLOWANCE = {"symbol_share": 0.05, "dup_line_share": 0.4, "repeat_share": 0.28, "word_length": 1.5}
+CONSTANTS = {"symbol_share": 0.08, "dup_line_share": 0.6, "repeat_share": 0.3, "word_length": 14.0}
 
 
 def _measures(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -90,34 +94,51 @@ def quantiles(parts: DataFrame, by: tuple[str, ...], wanted: dict[str, float]) -
 
 
 def thresholds(rows: DataFrame) -> DataFrame:
-    """``lang, source`` and the highest accepted value of each measure, one row per group that occurs."""
-    names, ask = tuple(FLOORS), {"middle": MIDDLE, "upper": UPPER}
-    fine = durable(sketch(rows, ("lang", "source"), names))
+    """``lang, source``, the highest accepted value of each measure and ``decided_by``, one row per group that occurs.
+
+    ``decided_by`` names what the limits come from: ``group``, ``language`` or ``all`` (a sketch), or ``constants``.
+    """
+    names, ask = tuple(ALLOWANCE), {"tail": TAIL}
+    fine = durable(sketch(rows.where("NOT base_failed"), ("lang", "source"), names))
     wide = durable(merged(fine, ("lang",)))
-    limit = lambda c: F.col("upper") + SPREAD * (F.col("upper") - F.col("middle"))
-    own = quantiles(fine, ("lang", "source"), ask).select("lang", "source", "measure", F.col("rows"), limit("a").alias("own"))
-    lang = quantiles(wide, ("lang",), ask).select(F.col("lang").alias("l"), F.col("measure").alias("m"), F.col("rows").alias("l_rows"), limit("a").alias("of_lang"))
-    whole = quantiles(merged(wide, ()), (), ask).select(F.col("measure").alias("w"), limit("a").alias("of_all"))
-    joined = own.join(lang, F.col("lang").eqNullSafe(F.col("l")) & (F.col("measure") == F.col("m"))).join(F.broadcast(whole), F.col("measure") == F.col("w"))
-    chosen = F.when(F.col("rows") >= LEAST, F.col("own")).when(F.col("l_rows") >= LEAST, F.col("of_lang")).otherwise(F.col("of_all"))
-    floor = F.coalesce(*[F.when(F.col("measure") == n, F.lit(v)) for n, v in FLOORS.items()])
+    own = quantiles(fine, ("lang", "source"), ask).select(F.col("lang").alias("ol"), F.col("source").alias("os"), F.col("measure").alias("om"), F.col("rows").alias("o_rows"), F.col("tail").alias("own"))
+    lang = quantiles(wide, ("lang",), ask).select(F.col("lang").alias("ll"), F.col("measure").alias("lm"), F.col("rows").alias("l_rows"), F.col("tail").alias("of_lang"))
+    whole = quantiles(merged(wide, ()), (), ask).select(F.col("measure").alias("wm"), F.col("rows").alias("w_rows"), F.col("tail").alias("of_all"))
+    found = rows.groupBy("lang", "source").agg(F.count(F.lit(1)).alias("n"))
+    cells = found.select("lang", "source", F.explode(F.array(*[F.lit(n) for n in names])).alias("measure"))
+    same = F.col("lang").eqNullSafe(F.col("ol")) & F.col("source").eqNullSafe(F.col("os")) & (F.col("measure") == F.col("om"))
+    joined = cells.join(own, same, "left").join(lang, F.col("lang").eqNullSafe(F.col("ll")) & (F.col("measure") == F.col("lm")), "left")
+    joined = joined.join(F.broadcast(whole), F.col("measure") == F.col("wm"), "left")
+    of = lambda group, language, both, none: F.when(F.col("o_rows") >= LEAST, group).when(F.col("l_rows") >= LEAST, language).when(F.col("w_rows") >= LEAST, both).otherwise(none)
+    value = lambda known: F.coalesce(*[F.when(F.col("measure") == n, F.lit(v)) for n, v in known.items()])
+    top = of(*[F.col(c) + value(ALLOWANCE) for c in ("own", "of_lang", "of_all")], value(CONSTANTS))
+    by = of(*map(F.lit, ("group", "language", "all", "constants")))
     return (
-        joined.select("lang", "source", "measure", F.greatest(chosen, floor).alias("top"))
+        joined.select("lang", "source", "measure", top.alias("top"), by.alias("by"))
         .groupBy("lang", "source")
-        .agg(*[F.max(F.when(F.col("measure") == n, F.col("top"))).alias(f"max_{n}") for n in names])
+        .agg(F.max("by").alias("decided_by"), *[F.max(F.when(F.col("measure") == n, F.col("top"))).alias(f"max_{n}") for n in names])
     )
 
 
 def judged(docs: DataFrame) -> DataFrame:
-    """Every row's counts with ``base_failed`` and ``kept`` (not base_failed, and no measure beyond its group's threshold).
+    """Every row's counts with ``base_failed``, ``decided_by`` and ``kept`` (not base_failed, and no measure beyond its group's
+    threshold).
 
     Null languages and sources are groups of their own. A null or empty text fails the base rule. Repeated rows are judged
     alike; no rows give no rows. Other columns are ignored.
     """
     rows = durable(measures(docs))
-    tops = durable(thresholds(rows)).select(F.col("lang").alias("l"), F.col("source").alias("s"), *[f"max_{n}" for n in FLOORS])
+    tops = durable(thresholds(rows)).select(F.col("lang").alias("l"), F.col("source").alias("s"), "decided_by", *[f"max_{n}" for n in ALLOWANCE])
     same = F.col("lang").eqNullSafe(F.col("l")) & F.col("source").eqNullSafe(F.col("s"))
     fits: Column = ~F.col("base_failed")
-    for n in FLOORS:
+    for n in ALLOWANCE:
         fits = fits & (F.col(n) <= F.col(f"max_{n}"))
     return rows.join(small_side(tops), same).drop("l", "s").withColumn("kept", fits)
+
+
+def decisions(docs: DataFrame) -> DataFrame:
+    """How many groups and rows each kind of limit decides, and how many rows that pass the base rule each measure rejects."""
+    over = [F.count_if(~F.col("base_failed") & (F.col(n) > F.col(f"max_{n}"))).alias(f"over_{n}") for n in ALLOWANCE]
+    parts = judged(docs).groupBy("decided_by", "lang", "source").agg(F.count(F.lit(1)).alias("rows"), F.count_if("base_failed").alias("base_failed"), F.count_if("kept").alias("kept"), *over)
+    names = ["rows", "base_failed", "kept", *[f"over_{n}" for n in ALLOWANCE]]
+    return parts.groupBy("decided_by").agg(F.count(F.lit(1)).alias("groups"), *[F.sum(n).alias(n) for n in names])

@@ -214,6 +214,22 @@ def test_quality(spark, docs):
     assert by[2001] and not any(by[d] for d, t, *_ in DATA if t and t.count("###") > 20)
 
 
+def test_quality_follows_the_group(spark):
+    clean = "\n".join(" ".join(f"w{i}ord{j}" for j in range(6)) for i in range(8))
+    tabled = "\n".join(" | ".join(f"w{i}ord{j}" for j in range(6)) for i in range(8))  # symbols 40 of 288 characters of words
+    data = [(i, clean + f" end{i}", "en", "prose", 1) for i in range(250)] + [(1000 + i, tabled + f" end{i}", "en", "tables", 1) for i in range(250)]
+    data += [(5000, tabled, "en", "prose", 1), (5001, tabled, "en", "tables", 1), (5002, tabled.replace("|", "|||||"), "en", "tables", 1)]
+    light = tabled.replace(" | ", " ").replace("ord1", "ord1 | |").replace("ord3", "ord3 |")  # 24 symbols
+    data += [(5003, light, "en", "prose", 1), (5004, light, "en", "tables", 1)]
+    data += [(6000 + i, clean, "de", "few", 1) for i in range(3)] + [(6100, tabled.replace("|", "|||||"), "de", "few", 1), (6200, "one", "fr", "none pass", 1)]
+    kept = {r.doc_id: r.kept for r in quality.judged(fx.frame(spark, data)).collect()}
+    assert len(kept) == len(data)
+    assert {d for d, k in kept.items() if not k} == {5000, 5002, 5003, 6100, 6200}
+    got = {r.decided_by: (r.groups, r.rows) for r in quality.decisions(fx.frame(spark, data)).collect()}
+    assert got == {"group": (2, 505), "all": (2, 5)}
+    assert [(r.decided_by, r.groups) for r in quality.decisions(fx.frame(spark, data[:100])).collect()] == [("constants", 1)]
+
+
 def test_sketch_quantiles(spark):
     from pyspark.sql import functions as F
 
