@@ -1,4 +1,4 @@
-"""License scan: TF-IDF cosine of each line to license templates, then inheritance from the nearest licensed directory."""
+"""License scan: TF-IDF cosine of lines and of runs of words to license templates, then inheritance from the nearest licensed directory."""
 
 from __future__ import annotations
 
@@ -8,7 +8,7 @@ from collections import Counter
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..runtime import durable, small_side
+from ..runtime import compute_once, durable, small_side
 from .common import text_key
 
 #: Short notices and header lines of public licenses (fixed values).
@@ -27,6 +27,8 @@ TEMPLATES = (
     ("ISC", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted"),
 )
 NEAR = 0.75
+#: Words that only mark a line as a comment, left out where a notice may run over several lines.
+MARKS = r"(?mi)^[^a-z0-9\n]*(?:rem|dnl)\b"
 LICENSE_FILE = r"(?i)\A(licen[cs]e|copying|notice)([._-].*)?\z"
 
 
@@ -38,9 +40,9 @@ def _template_tokens(text: str) -> list[str]:
     return [t for t in "".join(c if c.isascii() and c.isalnum() else " " for c in text.lower()).split() if t]
 
 
-def found_licenses(files: DataFrame, near: float = NEAR) -> tuple[DataFrame, list[str]]:
-    """``line, license, score`` for each distinct line of ``files(text)`` whose cosine to a template is ``near`` or more, and
-    the rarer words of the templates.
+def found_licenses(files: DataFrame, near: float = NEAR) -> tuple[DataFrame, list[str], dict[str, float]]:
+    """``line, license, score`` for each distinct line of ``files(text)`` whose cosine to a template is ``near`` or more,
+    the rarer words of the templates, and the weight of each of their words.
 
     Document frequencies of the templates' words are counted over all files. Lines that hold none of the rarer words cannot
     reach ``near``: what the other words contribute to a template's length is below it, which the choice of
@@ -74,25 +76,61 @@ def found_licenses(files: DataFrame, near: float = NEAR) -> tuple[DataFrame, lis
     dot = terms.join(template, "term").groupBy("line", "template", "license").agg(F.sum(F.col("w") * F.col("part")).alias("dot"))
     scored = dot.join(length, "line").select("line", "license", F.round(F.col("dot") / F.col("length"), 6).alias("score")).where(F.col("score") >= near)
     best = scored.groupBy("line").agg(F.max(F.struct("score", "license")).alias("b"))
-    return best.select("line", "b.license", "b.score"), rarer
+    return best.select("line", "b.license", "b.score"), rarer, weight
+
+
+def runs_of_words(rows: DataFrame, rarer: list[str], weight: dict[str, float], near: float = NEAR) -> DataFrame:
+    """``_key`` and the best ``own(score, license)`` of the runs of words in ``rows(_key, text)`` that are ``near`` a template.
+
+    A run begins at a word of the template and has as many words as the template, or a quarter more; line ends and comment
+    marks do not count. So wrapped, commented and inline notices are found. The cosine is that of lines. What is skipped
+    cannot reach ``near``: by Cauchy-Schwarz a cosine is at most the length of the template's part that the text holds.
+    """
+    words = F.array(*[F.lit(t) for t in weight])
+    idf = F.create_map(*[x for t, w in weight.items() for x in (F.lit(t), F.lit(w))])
+    kinds = []
+    for name, text in TEMPLATES:
+        many = Counter(_template_tokens(text))
+        n, length = sum(many.values()), math.sqrt(sum((k * weight[t]) ** 2 for t, k in many.items()))
+        part = F.create_map(*[x for t, k in many.items() for x in (F.lit(t), F.lit(k * weight[t] / length))])
+        kinds.append(F.struct(F.lit(name).alias("license"), F.array(F.lit(n), F.lit(n + -(-n // 4))).alias("sizes"), F.array(*[F.lit(t) for t in many]).alias("terms"), part.alias("part")))
+    enough = lambda held, k: F.aggregate(
+        F.array_intersect(held, k["terms"]), F.lit(0.0), lambda a, t: a + F.element_at(k["part"], t) * F.element_at(k["part"], t)
+    ) >= F.lit((near - 1e-6) ** 2)
+    tokens = tokens_of(F.regexp_replace("text", MARKS, " "))
+    seen = compute_once(rows.where("text IS NOT NULL"), "_key", tokens.alias("tokens"))
+    seen = compute_once(seen.where(F.arrays_overlap("tokens", F.array(*[F.lit(t) for t in rarer]))), "_key", "tokens", F.array_intersect("tokens", words).alias("held"))
+    few = seen.select("_key", "tokens", F.explode(F.filter(F.array(*kinds), lambda k: enough(F.col("held"), k))).alias("k"))
+    token, size = F.col("tokens"), F.size("tokens")
+    starts = F.filter(F.sequence(F.lit(1), size), lambda i: F.array_contains(F.col("k.terms"), F.element_at(token, i)))
+    run = lambda i, n: F.transform(F.sequence(i, F.least(size, i + n - 1)), lambda j: F.element_at(token, j))
+    at = F.flatten(F.transform(F.col("k.sizes"), lambda n: F.filter(F.transform(starts, lambda i: run(i, n)), lambda r: enough(r, F.col("k")))))
+    runs = few.select("_key", "k", F.explode(at).alias("run"))
+    times = lambda t: F.size(F.filter("run", lambda x: x == t)) * F.element_at(idf, t)
+    held = compute_once(runs, "_key", "k", F.transform(F.array_intersect("run", words), lambda t: F.struct(t.alias("t"), times(t).alias("w"))).alias("held"))
+    dot = F.aggregate("held", F.lit(0.0), lambda a, x: a + x["w"] * F.coalesce(F.try_element_at(F.col("k.part"), x["t"]), F.lit(0.0)))
+    length = F.sqrt(F.aggregate("held", F.lit(0.0), lambda a, x: a + x["w"] * x["w"]))
+    scored = held.select("_key", F.round(dot / length, 6).alias("score"), F.col("k.license").alias("license")).where(F.col("score") >= near)
+    return scored.groupBy("_key").agg(F.max(F.struct("score", "license")).alias("own"))
 
 
 def scanned(files: DataFrame, near: float = NEAR) -> DataFrame:
     """``files(path, text, ...)`` without its text and with ``own_license, score, license, inherited_from``.
 
-    A file's own license is that of its best line. Files named like a license file stand for their directory; a file
+    A file's own license is that of its best line or run of words. Files named like a license file stand for their directory; a file
     without an own license takes that of the nearest directory above it that has one. Equal scores go to the later name, of
     equal directories the better score counts. A null or empty text has no own license, a null path inherits
     nothing; repeated rows stay and are judged alike. DataFrame functions only.
     """
     keep = [c for c in files.columns if c not in ("text", "own_license", "score", "license", "inherited_from")]
     rows = files.withColumn("_key", F.xxhash64(F.coalesce("path", F.lit("")), text_key()))
-    found, rarer = found_licenses(files.select("text"), near)
+    found, rarer, weight = found_licenses(files.select("text"), near)
     best = durable(found)
     lines = rows.where("text IS NOT NULL").select("_key", F.explode(F.split("text", "\n")).alias("line"))
     one_of = rf"(?<![a-z0-9])({'|'.join(rarer)})(?![a-z0-9])"  # every line of ``best`` holds one
     hits = lines.where(F.lower("line").rlike(one_of))
-    own = hits.join(small_side(best), "line").groupBy("_key").agg(F.max(F.struct("score", "license")).alias("own"))
+    own = hits.join(small_side(best), "line").select("_key", F.struct("score", "license").alias("own"))
+    own = own.unionByName(runs_of_words(rows.select("_key", "text"), rarer, weight, near)).groupBy("_key").agg(F.max("own").alias("own"))
     known = durable(rows.select(*keep, "_key").join(own, "_key", "left"))
 
     folder = F.regexp_replace("path", r"/?[^/]*\z", "")

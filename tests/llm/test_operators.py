@@ -293,6 +293,29 @@ def test_licenses(spark):
     assert licenses.scanned(df.limit(0)).count() == 0
 
 
+def test_licenses_over_lines_and_inside(spark):
+    mit = (
+        "Permission is hereby granted, free of charge, to any person obtaining a copy\nof this software and associated documentation files (the \"Software\"), to deal\n"
+        "in the Software without restriction, including without limitation the rights\nto use, copy, modify, merge, publish, distribute, sublicense, and/or sell\ncopies"
+    )
+    gpl = (
+        "# This program is free software: you can\n# redistribute it and/or modify it under the\n# terms of the GNU General Public License as\n"
+        "# published by the Free Software Foundation,\n# either version 3 of the License\nimport os"
+    )
+    isc = "REM Permission to use, copy, modify,\nREM and/or distribute this software for\nREM any purpose with or without fee is\nREM hereby granted"
+    filler = "the house of the man and this is in the work of all to be or not by any " * 20
+    files = [
+        ("mit", mit, "MIT"), ("gpl", gpl, "GPL-3.0"), ("isc", isc, "ISC"), ("inline", f"{filler}Released under the MIT License. {filler}", "MIT"),
+        ("bsd", "// Redistribution and use in source and binary forms, with or without modification,\n// are permitted provided that the following conditions are met:", "BSD-3-Clause"),
+        ("c", "/*\n * Licensed under\n * CC BY 4.0.\n */", "CC-BY-4.0"), ("plain", filler, None), ("few", f"license {filler} software {filler} version", None),
+        ("apart", f"Permission is hereby {filler} granted free of {filler} charge to any person {filler} obtaining a copy", None), ("none", None, None),
+    ]
+    files += [(f"other{i}", f"{filler}{i}", None) for i in range(60)]
+    df = spark.createDataFrame([(p, t) for p, t, _ in files], "path string, text string").repartition(3)
+    got = {r.path: r.own_license for r in licenses.scanned(df).collect()}
+    assert got == {p: k for p, _, k in files}
+
+
 def test_urls(spark):
     cases = [
         ("http://a.example.net/en/1", "allow", "example.net/en/"), ("https://EXAMPLE.net/de/1?x", "block", "net/"), ("x://example.net", "allow", None),
