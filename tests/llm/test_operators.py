@@ -274,6 +274,26 @@ def test_search(spark, docs, shard, monkeypatch):
         assert len(want) == len(got[q])
 
 
+@pytest.mark.parametrize("shard", [10_000, 20])
+def test_search_ids(spark, docs, shard, monkeypatch):
+    monkeypatch.setattr(search, "SHARD", shard)
+    monkeypatch.setattr(search, "BLOCK", 4)
+    queries = [r for r in UNIQUE if r[0] % 5 == 0 or r[0] >= 1000]
+    got = defaultdict(list)
+    for r in search.searched(docs, fx.frame(spark, queries), k=5).orderBy("query_id", "rank").collect():
+        got[r.query_id].append(r.doc_id)
+    assert {q: got[q] for q in got} == {q: [d for d, _ in want] for q, want in bm25(DATA, queries, 5).items() if want}
+
+
+def test_rounded_ties_in_another_block(monkeypatch):
+    monkeypatch.setattr(search, "BLOCK", 1)
+    term = np.array([1], np.uint64)
+    index = search.Index([(term, np.array([1]))] * 12, term, 1.0)
+    index.impact[:] = index.most[:] = [1.0] * 6 + [1.0 - 3e-7] * 6  # all are 1 when rounded
+    best, score = index.top(np.array([0]), np.array([1.0]), 2, np.array([], int))
+    assert best.tolist() == list(range(12)) and set(score) == {1.0}
+
+
 def test_licenses(spark):
     files = [
         ("a/LICENSE", "Released under the MIT License."), ("a/b/x.py", "code"), ("a/b/y.py", "Licensed under CC BY-NC 4.0.\ncode"),
