@@ -20,6 +20,8 @@ from .common import only, raw
 TOXIC_TEXTS, ORDINARY_TEXTS = 2000, 4000
 #: Words of a window; bytes of the dictionary part both sides share, and of the part trained on each side's own text.
 WORDS, SHARED_BYTES, OWN_BYTES = 8, 8192, 2048
+#: Bytes of text a dictionary is trained on at most, an equal share from each text, spread evenly over it.
+TRAINING_BYTES = 1 << 25
 #: A side's own text: words with a string of so many bytes that this share of its texts has and the other side has so
 #: many times less often.
 OWN_GRAM, OWN_SHARE, LIFT = 5, 0.02, 8.0
@@ -86,9 +88,12 @@ def _logistic(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     return w
 
 
-def _dictionary(size: int, texts: list[bytes]) -> bytes:
-    """Content zstandard's trainer picks from the samples; too few samples are used as they are."""
-    samples = [t[i : i + 64] for t in texts for i in range(0, len(t), 64) if len(t[i : i + 64]) >= 8][:200_000]
+def _dictionary(size: int, texts: list[list[bytes]]) -> bytes:
+    """Content zstandard's trainer picks from the parts of all texts; too few samples are used as they are."""
+    share, samples = max(1, TRAINING_BYTES // max(1, len(texts))), []
+    for parts in texts:
+        pieces = [t[i : i + 64] for t in parts for i in range(0, len(t), 64) if len(t[i : i + 64]) >= 8]
+        samples += pieces[:: max(1, -(-sum(map(len, pieces)) // share))]
     try:
         return zstandard.train_dictionary(size, samples).as_bytes()
     except zstandard.ZstdError:
@@ -107,12 +112,12 @@ def trained(toxic: list[str], ordinary: list[str]) -> Model:
     words = [[plain(t) for t in side] for side in (toxic, ordinary)]
     often = [Counter(g for t in side for g in {g for w in set(t) for g in _grams(w)}) for side in words]
 
-    def own(a: int) -> list[bytes]:
+    def own(a: int) -> list[list[bytes]]:
         n, m, mine, other = len(words[a]), len(words[1 - a]), often[a], often[1 - a]
         keep = {g for g, k in mine.items() if k >= max(2, OWN_SHARE * n) and (k + 0.5) / (n + 1) >= LIFT * (other[g] + 0.5) / (m + 1)}
-        return [b" %b " % b" ".join([w for w in t if not keep.isdisjoint(_grams(w))]) for t in words[a]]
+        return [[b" %b " % b" ".join([w for w in t if not keep.isdisjoint(_grams(w))])] for t in words[a]]
 
-    shared = _dictionary(SHARED_BYTES, [w for t in words[1] for w in windows(t)][:100_000])
+    shared = _dictionary(SHARED_BYTES, [windows(t) for t in words[1]])
     model = Model(shared + _dictionary(OWN_BYTES, own(0)), shared + _dictionary(OWN_BYTES, own(1)))
     both = model.compressors()
     gains = [model.gains(both, t) for t in (*toxic, *ordinary)]
@@ -128,13 +133,13 @@ def trained(toxic: list[str], ordinary: list[str]) -> Model:
 
 
 def fitted(docs: DataFrame, labels: DataFrame, may_learn: str) -> Model:
-    """Model from a bounded sample of labelled rows for which the SQL condition ``may_learn`` on doc_id holds."""
+    """Model from a bounded sample of labelled doc_ids, one text of each, for which the SQL condition ``may_learn`` holds."""
     known = labels.where("toxic IS NOT NULL AND doc_id IS NOT NULL").where(may_learn).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     order = F.xxhash64("doc_id", F.lit("toxicity"))
     some = known.where("toxic = 1").orderBy(order, "doc_id").limit(TOXIC_TEXTS).union(known.where("toxic <> 1").orderBy(order, "doc_id").limit(ORDINARY_TEXTS))
     side = small_side(durable(some))
-    rows = only(docs, ["doc_id", "text"]).join(side, "doc_id").where("text IS NOT NULL").select("text", "toxic").distinct().collect()
-    texts = sorted((r.text, r.toxic) for r in rows)
+    rows = only(docs, ["doc_id", "text"]).join(side, "doc_id").where("text IS NOT NULL").groupBy("doc_id").agg(F.min("text").alias("text"), F.max("toxic").alias("toxic"))
+    texts = sorted({(r.text, r.toxic) for r in rows.select("text", "toxic").collect()})
     return trained([t for t, k in texts if k == 1], [t for t, k in texts if k != 1])
 
 

@@ -381,6 +381,19 @@ def test_toxicity(spark):
     assert all(r.score == 0 for r in toxicity.toxicity(fx.frame(spark, data), label.limit(0)).collect())
 
 
+def test_toxicity_learns_from_all_sampled_texts(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(toxicity.zstandard, "train_dictionary", lambda size, samples: seen.extend(samples) or toxicity.zstandard.ZstdCompressionDict(b"x" * 64))
+    monkeypatch.setattr(toxicity, "TRAINING_BYTES", 20_000)
+    toxicity._dictionary(64, [[b" early text %06d " % i for i in range(300_000)], *[[b" late text %d " % i] for i in range(50)]])
+    assert sum(b"late" in s for s in seen) == 50 and sum(map(len, seen)) <= 20_000 and any(b"early text 29" in s for s in seen)
+    got = []
+    monkeypatch.setattr(toxicity, "trained", lambda toxic, ordinary: got.append((toxic, ordinary)))
+    rows = [(1, f"shared {i}", "en", "a", 1) for i in range(40)] + [(2, "bad", "en", "a", 1)]
+    toxicity.fitted(fx.frame(spark, rows), spark.createDataFrame([(1, 1, 0), (2, 1, 1)], "doc_id long, quality int, toxic int"), "true")
+    assert got == [(["bad"], ["shared 0"])]
+
+
 def test_no_rows(spark, none):
     label = spark.createDataFrame([], "doc_id long, quality int, toxic int")
     frames = [
