@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import licenses, mixing, near, packing, quality, search, suffix, tokens, toxicity, urls
+from . import importance, licenses, mixing, near, packing, quality, ranked, search, suffix, symbols, tokens, toxicity, urls
 from .sql import STATEMENTS
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -73,10 +73,27 @@ def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity.toxicity(_table(spark, folder, "documents"), _table(spark, folder, "labels"))
 
 
+def op11_ranked_search(spark: SparkSession, folder: str) -> DataFrame:
+    return ranked.ranked(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
+
+
+def op12_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
+    rows = symbols.encoded(_table(spark, folder, "documents"))
+    digest = F.sha2(F.concat_ws(",", F.col("ids").cast("array<string>")), 256)
+    return rows.select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"), digest.alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"), "agrees"
+    )
+
+
+def op13_importance_resampling(spark: SparkSession, folder: str) -> DataFrame:
+    return importance.resampled(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
+
+
 def queries() -> dict[str, Query]:
     own = [
         op1_mix_sources, op2_license_scan, op3_top_k_search, op4_suffix_dedup, op5_url_filter,
         op6_token_counts, op7_best_fit_packing, op8_ngram_jaccard, op9_quality_rules, op10_toxicity,
+        op11_ranked_search, op12_sentencepiece, op13_importance_resampling,
     ]
     return {f.__name__: f for f in own}
 

@@ -74,4 +74,53 @@ SELECT page_id, host, path, rule, CASE
 FROM named
 """
 
-STATEMENTS: dict[str, str] = {"op2_license_scan": LICENSE_SCAN, "op3_top_k_search": TOP_K_SEARCH, "op5_url_filter": URL_FILTER}
+_LOWER = "translate(coalesce({}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')".format
+
+RANKED_SEARCH = rf"""
+WITH docs AS (SELECT row_number() OVER () AS rid, doc_id,
+ regexp_extract_all({_LOWER("text")}, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS words FROM documents),
+size AS (SELECT count(*) AS n, CAST(sum(len(words)) AS BIGINT) AS l FROM docs WHERE len(words) > 0),
+tf AS (SELECT rid, doc_id, len, term, count(*) AS tf FROM (SELECT rid, doc_id, len(words) AS len, unnest(words) AS term FROM docs) GROUP BY ALL),
+items AS (SELECT row_number() OVER () AS item, item_id, text FROM (SELECT DISTINCT item_id, text FROM benchmark)),
+asked AS (
+ SELECT item, item_id, term, count(*) AS times FROM (
+  SELECT item, item_id, unnest(regexp_extract_all({_LOWER("text")}, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM items) GROUP BY ALL),
+w AS (SELECT term, CAST(floor(1000 * ln((2.0::DOUBLE * (SELECT n FROM size) + 2) / (2 * count(*) + 1))) AS BIGINT) AS w FROM tf GROUP BY term),
+scored AS (
+ SELECT item, item_id, rid, doc_id, CAST(sum(times * w * ((1000000000 * tf) // (1000 * tf + 8 * (25 + (75 * len * n) // l)))) AS BIGINT) AS score
+ FROM asked JOIN w USING (term) JOIN tf USING (term), size GROUP BY item, item_id, rid, doc_id),
+best AS (SELECT *, row_number() OVER (PARTITION BY item ORDER BY score DESC, doc_id NULLS LAST) AS rank FROM scored WHERE score > 0)
+SELECT item_id, CAST(rank AS INT) AS rank, doc_id, score FROM best WHERE rank <= 10
+"""
+
+#: The checksum bit by bit over the bytes of each distinct word; the Gumbel value from the digest's first 8 digits.
+IMPORTANCE_RESAMPLING = rf"""
+WITH table_ AS (
+ SELECT list_transform(range(256), lambda b: list_reduce(list_prepend(b, range(8)), lambda x, y: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END)) AS t),
+docs AS (SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all({_LOWER("text")}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words FROM documents),
+dw AS (SELECT rid, word, count(*) AS n FROM (SELECT rid, unnest(words) AS word FROM docs) GROUP BY ALL),
+bw AS (
+ SELECT word, count(*) AS n FROM (SELECT unnest(regexp_extract_all({_LOWER("text")}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS word FROM benchmark) GROUP BY word),
+hexed AS (SELECT word, hex(word) AS h FROM (SELECT word FROM dw UNION SELECT word FROM bw)),
+crc AS (
+ SELECT word, xor(list_reduce(list_prepend(4294967295, list_transform(range(len(h) // 2), lambda i: CAST('0x' || substr(h, 2 * i + 1, 2) AS BIGINT))),
+  lambda x, b: xor(x >> 8, t[(xor(x, b) & 255) + 1])), 4294967295) % 10000 AS bucket FROM hexed, table_),
+s AS (SELECT bucket, sum(n) AS s FROM dw JOIN crc USING (word) GROUP BY bucket),
+t AS (SELECT bucket, sum(n) AS t FROM bw JOIN crc USING (word) GROUP BY bucket),
+total AS (SELECT coalesce((SELECT sum(s) FROM s), 0)::DOUBLE AS s, coalesce((SELECT sum(t) FROM t), 0)::DOUBLE AS t),
+gain AS (
+ SELECT s.bucket, CAST(floor(1000 * ln((coalesce(t.t, 0)::DOUBLE + 1) * (total.s + 10000) / ((s.s::DOUBLE + 1) * (total.t + 10000)))) AS BIGINT) AS gain
+ FROM s LEFT JOIN t ON s.bucket = t.bucket, total),
+weight AS (SELECT rid, sum(n * gain) AS weight FROM dw JOIN crc USING (word) JOIN gain USING (bucket) GROUP BY rid),
+scored AS (
+ SELECT doc_id, rid, len(words) AS n, CAST(coalesce(weight, 0) AS BIGINT) AS weight, CAST(coalesce(weight, 0) AS BIGINT) + CAST(floor(-1000 * ln(-ln(
+  (CAST('0x' || substr(sha256('2024:' || coalesce(CAST(doc_id AS VARCHAR), '')), 1, 8) AS BIGINT) + 0.5::DOUBLE) / 4294967296::DOUBLE))) AS BIGINT) AS score
+ FROM docs LEFT JOIN weight USING (rid)),
+placed AS (SELECT *, CASE WHEN n >= 20 THEN row_number() OVER (PARTITION BY n >= 20 ORDER BY score DESC, doc_id NULLS LAST) END AS place FROM scored)
+SELECT doc_id, CAST(n AS BIGINT) AS n_features, weight, score, CASE WHEN place <= 10 * (SELECT count(*) FROM scored WHERE n >= 20) // 100 THEN place END AS rank FROM placed
+"""
+
+STATEMENTS: dict[str, str] = {
+    "op2_license_scan": LICENSE_SCAN, "op3_top_k_search": TOP_K_SEARCH, "op5_url_filter": URL_FILTER,
+    "op11_ranked_search": RANKED_SEARCH, "op13_importance_resampling": IMPORTANCE_RESAMPLING,
+}
