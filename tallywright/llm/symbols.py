@@ -8,6 +8,7 @@ The library encodes and decodes the same Arrow batch, and each row says whether
 from __future__ import annotations
 
 import heapq
+import re
 from array import array
 from collections.abc import Iterator
 
@@ -19,9 +20,15 @@ from pyspark.sql import DataFrame
 from .common import CHARS_AT_ONCE, only
 
 MODEL = "piece_bpe_32k.model"
-#: A worker forgets its memo of words beyond so many entries; longer words are not kept.
-MEMO, MEMO_WORD = 300_000, 64
+#: A worker keeps the words of its last one or two times so many misses; longer words are not kept.
+MEMO, MEMO_WORD = 500_000, 64
+#: Up to so many symbols the agenda is a plain list, beyond a heap.
+SHORT = 24
 SPACE = "▁"
+#: Letters, runs of them with the spaces before, and runs of other characters with the spaces before.
+_LETTER = r"[^\W\d_¹²³]"
+_RUNS = re.compile(f"{SPACE}*(?:{_LETTER}+|(?:(?!{_LETTER})[^{SPACE}])+|$)")
+_MIXED = re.compile(f"{_LETTER}(?!{_LETTER}).|[^{SPACE}](?<!{_LETTER}){_LETTER}", re.DOTALL)
 
 
 class Vocabulary:
@@ -44,62 +51,93 @@ class Vocabulary:
         self.library = sentencepiece.SentencePieceProcessor(model_file=path)
         self.dummy = SPACE if rule.add_dummy_prefix else ""
         self.id = {p.piece: i for i, p in enumerate(model.pieces) if p.type == kind.NORMAL}
-        self.cost = {p.piece: -p.score for p in model.pieces if p.type == kind.NORMAL}
+        levels = {x: i for i, x in enumerate(sorted({-p.score for p in model.pieces}))}
+        self.cost = {p.piece: levels[-p.score] for p in model.pieces if p.type == kind.NORMAL}
+        self.none = len(levels)
         self.byte = [-1] * 256
         for i, p in enumerate(model.pieces):
             if p.type == kind.BYTE:
                 self.byte[int(p.piece[3:5], 16)] = i
         if not model.trainer_spec.byte_fallback or -1 in self.byte:
             raise ValueError("characters outside the vocabulary need byte pieces")
-        self.of_byte = {i: b for b, i in enumerate(self.byte)}
-        unknown = model.trainer_spec.unk_surface
-        self.surface = [
-            p.piece.replace(SPACE, " ") if p.type == kind.NORMAL else unknown if p.type == kind.UNKNOWN else "" for p in model.pieces
-        ]
+        of_byte = {i: bytes([b]) for b, i in enumerate(self.byte)}
+        said = {kind.NORMAL: lambda p: p.piece.replace(SPACE, " "), kind.UNKNOWN: lambda p: model.trainer_spec.unk_surface}
+        self.surface = [of_byte.get(i) or said.get(p.type, lambda p: "")(p).encode() for i, p in enumerate(model.pieces)]
         self.leading = {i for p, i in self.id.items() if p.startswith(SPACE)}
-        #: No piece has a space after another character, so no merge crosses the start of a word.
+        #: No piece has a space after another character, so no merge crosses the start of a word; the same
+        #: holds between letters and other characters, if no piece mixes them.
         self.by_word = not any(SPACE in p.lstrip(SPACE) for p in self.id)
+        self.by_run = self.by_word and not any(_MIXED.search(p) for p in self.id)
         self.memo: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     def merged(self, word: str) -> list[str]:
-        """Symbols left when no adjacent pair is a piece any more."""
+        """Symbols left when no adjacent pair is a piece any more: the best pair is joined first, of equals the leftmost."""
         symbol = list(word)
-        n = len(symbol)
+        return self._short(symbol) if len(symbol) <= SHORT else self._long(symbol)
+
+    def _short(self, symbol: list[str]) -> list[str]:
+        cost, none = self.cost, self.none
+        agenda = [cost.get(p, none) for p in map(str.__add__, symbol, symbol[1:])]
+        while agenda and (best := min(agenda)) < none:
+            a = agenda.index(best)
+            symbol[a] = pair = symbol[a] + symbol.pop(a + 1)
+            del agenda[a]
+            if a < len(agenda):
+                agenda[a] = cost.get(pair + symbol[a + 1], none)
+            if a:
+                agenda[a - 1] = cost.get(symbol[a - 1] + pair, none)
+        return symbol
+
+    def _long(self, symbol: list[str]) -> list[str]:
+        cost, none, n = self.cost, self.none, len(symbol)
         before, after = list(range(-1, n - 1)), [*range(1, n), -1]
-        cost = self.cost
-        agenda = [(c, i, p) for i, p in enumerate(map(str.__add__, symbol, symbol[1:])) if (c := cost.get(p)) is not None]
+        at = [cost.get(p, none) for p in map(str.__add__, symbol, symbol[1:])] + [none]  # of the pair that starts there now
+        agenda = [(c, i) for i, c in enumerate(at) if c < none]
         heapq.heapify(agenda)
         while agenda:
-            _, a, pair = heapq.heappop(agenda)
-            b = after[a]
-            if b < 0 or not symbol[a] or symbol[a] + symbol[b] != pair:
+            c, a = heapq.heappop(agenda)
+            if at[a] != c:
                 continue  # one of the two has been joined to another since
-            symbol[a], symbol[b] = pair, ""
-            after[a] = c = after[b]
-            if c >= 0:
-                before[c] = a
-                if (got := cost.get(p := pair + symbol[c])) is not None:
-                    heapq.heappush(agenda, (got, a, p))
-            if (z := before[a]) >= 0 and (got := cost.get(p := symbol[z] + pair)) is not None:
-                heapq.heappush(agenda, (got, z, p))
-        return [s for s in symbol if s]
+            b = after[a]
+            symbol[a] = pair = symbol[a] + symbol[b]
+            symbol[b], at[a], at[b] = "", none, none
+            after[a] = e = after[b]
+            if e >= 0:
+                before[e] = a
+                at[a] = c = cost.get(pair + symbol[e], none)
+                if c < none:
+                    heapq.heappush(agenda, (c, a))
+            if (z := before[a]) >= 0:
+                at[z] = c = cost.get(symbol[z] + pair, none)
+                if c < none:
+                    heapq.heappush(agenda, (c, z))
+        return [x for x in symbol if x]
 
     def word_ids(self, word: str) -> bytes:
         """Packed 32-bit ids of a word; a symbol outside the vocabulary becomes its bytes."""
-        if (got := self.memo.get(word)) is None:
-            ids = array("i")
-            for s in self.merged(word):
-                if (i := self.id.get(s)) is not None:
-                    ids.append(i)
-                else:
-                    ids.extend([self.byte[b] for b in s.encode("utf-8", "surrogatepass")])
-            got = ids.tobytes()
-            if len(word) <= MEMO_WORD:
-                if len(self.memo) >= MEMO:
-                    self.memo.clear()
-                self.memo[word] = got
+        if (got := self.memo.get(word)) is not None:
+            return got
+        if (got := self.older.get(word)) is None:
+            parts = [r for r in _RUNS.findall(word) if r] if self.by_run else [word]
+            if len(parts) > 1:
+                return b"".join([self.word_ids(r) for r in parts])
+            got = self._ids(self.merged(word))
+        if len(word) <= MEMO_WORD:
+            if len(self.memo) >= MEMO:
+                self.memo, self.older = {}, self.memo
+            self.memo[word] = got
         return got
 
+    def _ids(self, symbols: list[str]) -> bytes:
+        ids = array("i")
+        for s in symbols:
+            if (i := self.id.get(s)) is not None:
+                ids.append(i)
+            else:
+                ids.extend([self.byte[b] for b in s.encode("utf-8", "surrogatepass")])
+        return ids.tobytes()
+
     def encode(self, text: str | None) -> bytes:
         """Packed 32-bit ids of a whole text; a null or empty text has none."""
         if not text:
@@ -108,10 +146,13 @@ class Vocabulary:
         if not self.by_word:
             return self.word_ids(marked)
         parts = marked.split(SPACE)
-        of, out, spaces = self.word_ids, [of(parts[0])] if parts[0] else [], 1
+        of, out, spaces = self.word_ids, [], 1
+        if parts[0]:
+            out.append(of(parts[0]))
         for p in parts[1:]:  # a run of spaces belongs to the word after it
             if p:
-                out.append(of(SPACE * spaces + p))
+                word = SPACE * spaces + p
+                out.append(self.memo.get(word) or of(word))
                 spaces = 1
             else:
                 spaces += 1
@@ -124,22 +165,11 @@ class Vocabulary:
 
         A byte that belongs to no character becomes U+FFFD on its own; control pieces have no text.
         """
-        out, run, started = [], bytearray(), False
-        for i in ids:
-            if (b := self.of_byte.get(i)) is not None:
-                run.append(b)
-                continue
-            if run:
-                out.append(_utf8(bytes(run)))
-                run.clear()
-                started = True
-            piece = self.surface[i]
-            if not started and self.dummy and i in self.leading:
-                piece, started = piece[1:], True
-            elif piece:
-                started = True
-            out.append(piece)
-        return "".join([*out, _utf8(bytes(run))])
+        surface = self.surface
+        data = b"".join([surface[i] for i in ids])
+        if self.dummy and next((i for i in ids if surface[i]), None) in self.leading:
+            data = data[1:]
+        return _utf8(data)
 
 
 def _utf8(data: bytes) -> str:
