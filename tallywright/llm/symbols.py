@@ -2,7 +2,8 @@
 
 A text's symbols are its characters. The agenda holds each adjacent pair whose joint piece is in the vocabulary, the best
 score first and then the leftmost; the pair taken becomes one symbol and its neighbours are looked at again.
-The library encodes and decodes the same Arrow batch, and each row says whether it agrees.
+In each Arrow batch the library encodes the runs of characters that are new to the worker and decodes every row's ids, and
+each row says whether it agrees.
 """
 
 from __future__ import annotations
@@ -48,8 +49,10 @@ class Vocabulary:
         plain = rule.name == "identity" and not rule.remove_extra_whitespaces and rule.escape_whitespaces and not rule.precompiled_charsmap
         if model.trainer_spec.model_type != model.trainer_spec.BPE or not plain or not all(p.type in known for p in model.pieces):
             raise ValueError("a merge-type vocabulary of plain pieces, without rewriting of characters, is needed")
-        self.library = sentencepiece.SentencePieceProcessor(model_file=path)
         self.dummy = SPACE if rule.add_dummy_prefix else ""
+        self.library = sentencepiece.SentencePieceProcessor(model_file=path)
+        model.normalizer_spec.add_dummy_prefix = False
+        self.library_of_runs = sentencepiece.SentencePieceProcessor(model_proto=model.SerializeToString())
         self.id = {p.piece: i for i, p in enumerate(model.pieces) if p.type == kind.NORMAL}
         levels = {x: i for i, x in enumerate(sorted({-p.score for p in model.pieces}))}
         self.cost = {p.piece: levels[-p.score] for p in model.pieces if p.type == kind.NORMAL}
@@ -70,6 +73,9 @@ class Vocabulary:
         self.by_run = self.by_word and not any(_MIXED.search(p) for p in self.id)
         self.memo: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
+        #: Runs encoded since the library last looked, and those on which it does not agree.
+        self.fresh: dict[str, bytes] = {}
+        self.wrong: set[str] = set()
 
     def merged(self, word: str) -> list[str]:
         """Symbols left when no adjacent pair is a piece any more: the best pair is joined first, of equals the leftmost."""
@@ -119,10 +125,7 @@ class Vocabulary:
         if (got := self.memo.get(word)) is not None:
             return got
         if (got := self.older.get(word)) is None:
-            parts = [r for r in _RUNS.findall(word) if r] if self.by_run else [word]
-            if len(parts) > 1:
-                return b"".join([self.word_ids(r) for r in parts])
-            got = self._ids(self.merged(word))
+            self.fresh[word] = got = self._ids(self.merged(word))
         if len(word) <= MEMO_WORD:
             if len(self.memo) >= MEMO:
                 self.memo, self.older = {}, self.memo
@@ -142,23 +145,23 @@ class Vocabulary:
         """Packed 32-bit ids of a whole text; a null or empty text has none."""
         if not text:
             return b""
+        get, of = self.memo.get, self.word_ids
+        return b"".join([get(p) or of(p) for p in self.runs(text)])
+
+    def runs(self, text: str) -> list[str]:
+        """Parts of a text that no merge joins; a run of spaces belongs to what comes after it."""
         marked = self.dummy + text.replace(" ", SPACE)
-        if not self.by_word:
-            return self.word_ids(marked)
-        parts = marked.split(SPACE)
-        of, out, spaces = self.word_ids, [], 1
-        if parts[0]:
-            out.append(of(parts[0]))
-        for p in parts[1:]:  # a run of spaces belongs to the word after it
-            if p:
-                word = SPACE * spaces + p
-                out.append(self.memo.get(word) or of(word))
-                spaces = 1
-            else:
-                spaces += 1
-        if spaces > 1:
-            out.append(of(SPACE * (spaces - 1)))
-        return b"".join(out)
+        if self.by_run:
+            return _RUNS.findall(marked)
+        return re.findall(f"{SPACE}*(?:[^{SPACE}]+|$)", marked) if self.by_word else [marked]
+
+    def check(self, texts: list[str]) -> list[bool]:
+        """Whether the library agrees on all runs of each text; each run is held against it once after it is encoded."""
+        runs = list(self.fresh)
+        theirs = self.library_of_runs.encode(runs, num_threads=1)
+        self.wrong |= {r for r, t in zip(runs, theirs, strict=True) if array("i", t).tobytes() != self.fresh[r]}
+        self.fresh.clear()
+        return [self.wrong.isdisjoint(self.runs(t)) if self.wrong and t else True for t in texts]
 
     def decode(self, ids: list[int]) -> str:
         """Text of ids: pieces joined, byte pieces read as UTF-8, the space of the first piece left out.
@@ -213,7 +216,7 @@ def _encoded(path: str | None):
                 packed = [own.encode(t) for t in texts]
                 ids = [np.frombuffer(p, np.int32).tolist() for p in packed]
                 decoded = [own.decode(i) for i in ids]
-                agrees = [a == b and x == y for a, b, x, y in zip(ids, own.library.encode(texts, num_threads=1), decoded, own.library.decode(ids, num_threads=1), strict=True)]
+                agrees = [a and x == y for a, x, y in zip(own.check(texts), decoded, own.library.decode(ids, num_threads=1), strict=True)]
                 ends = np.cumsum([0, *[len(p) // 4 for p in packed]]).astype(np.int32)
                 lists = pa.ListArray.from_arrays(ends, np.frombuffer(b"".join(packed), np.int32))
                 yield pa.RecordBatch.from_arrays(

@@ -126,9 +126,24 @@ def test_any_ids_decode_as_the_library_does(model):
 
 def test_merging_does_not_depend_on_words(model, monkeypatch):
     texts = [t or "" for _, t, *_ in DATA]
-    by_word = [model.encode(t) for t in texts]
+    by_run = [model.encode(t) for t in texts]
+    monkeypatch.setattr(model, "by_run", False)
+    assert [model.encode(t) for t in texts] == by_run
     monkeypatch.setattr(model, "by_word", False)
-    assert [model.encode(t) for t in texts] == by_word
+    assert [model.encode(t) for t in texts] == by_run
+    assert [model._long(list(t)) for t in texts] == [model._short(list(t)) for t in texts]
+
+
+def test_a_wrong_run_is_told(monkeypatch):
+    own = symbols.Vocabulary()
+    right = own.merged
+    monkeypatch.setattr(own, "merged", lambda w: list(w) if "thing" in w else right(w))
+    texts = ["a thing.", "", "another word", "some things"]
+    for t in texts:
+        own.encode(t)
+    assert own.check(texts) == [False, True, True, False]
+    own.encode("thing")
+    assert own.check(["a thing", "fine"]) == [False, True]
 
 
 def test_sentencepiece(spark, model, monkeypatch):
