@@ -24,7 +24,7 @@ WINDOW, GRAM = 100, 32
 #: Windows looked at together in one text; cells end there, longer texts are cut at no other cost.
 SEGMENT = 1 << 18
 #: Bytes of cells in one suffix array.
-SHARD = 3_000_000
+SHARD = 1_000_000
 #: An anchor with more classes than this is dealt by window instead of by anchor, so no task holds all of it.
 HOT = 8_192
 
@@ -38,7 +38,7 @@ def _deal(sa: np.ndarray, at: np.ndarray, chars: np.ndarray, items: np.ndarray,
     chars = chars[order]
     starts = np.flatnonzero(np.r_[True, chars[1:] != chars[:-1]])
     many = np.diff(np.r_[starts, len(chars)])
-    inside = np.arange(len(chars)) - np.repeat(starts, many)
+    inside = np.arange(len(chars), dtype=np.int32) - np.repeat(starts, many)
     sa[at[chars] + step * inside] = items[order]
     at[chars[starts]] += step * many
 
@@ -50,7 +50,7 @@ def _induce(s: np.ndarray, small: np.ndarray, ends: np.ndarray, lms: np.ndarray,
     predecessors together, wave by wave, so each suffix is handled once per pass.
     """
     n = len(s)
-    sa = np.full(n, -1, np.int64)
+    sa = np.full(n, -1, np.int32)
     heads, n_small = np.r_[0, ends[:-1]], np.bincount(s[small], minlength=len(ends))
     split = ends - n_small  # larger suffixes (L) of a bucket stand before its smaller ones (S)
     per = np.bincount(s[lms], minlength=len(ends))
@@ -100,18 +100,18 @@ def suffix_array(s: np.ndarray) -> np.ndarray:
     if n < 3:
         return np.argsort(s, kind="stable")
     step = np.sign(np.diff(s))
-    last = np.where(step != 0, np.arange(n - 1), n)  # equal neighbours follow the next different pair
+    last = np.where(step != 0, np.arange(n - 1, dtype=np.int32), np.int32(n))  # equal neighbours follow the next different pair
     last = np.minimum.accumulate(last[::-1])[::-1]
     small = np.r_[step[np.minimum(last, n - 2)] > 0, True]
     is_lms = np.r_[False, small[1:] & ~small[:-1]]
-    lms = np.flatnonzero(is_lms)
+    lms = np.flatnonzero(is_lms).astype(np.int32)
     ends = np.cumsum(np.bincount(s))
     present = np.flatnonzero(np.diff(np.r_[0, ends]))
     by_char = lms[np.argsort(s[lms], kind="stable")]
     if len(lms) > 1:
         sa = _induce(s, small, ends, by_char, present)
         order = sa[is_lms[sa]]  # the substrings, sorted
-        length = np.zeros(n, np.int64)
+        length = np.zeros(n, np.int32)
         length[lms] = np.diff(np.r_[lms, n - 1])
         a, b = order[:-1], order[1:]
         new = length[a] != length[b]
@@ -123,7 +123,7 @@ def suffix_array(s: np.ndarray) -> np.ndarray:
             differ = s[a[open_] + off] != s[b[open_] + off]
             new[open_[differ]] = True
             open_ = open_[~differ]
-        name = np.zeros(n, np.int64)
+        name = np.zeros(n, np.int32)
         name[order] = np.r_[0, np.cumsum(new)]
         names = name[lms]
         if names.max() + 1 == len(names):
@@ -138,7 +138,7 @@ def suffix_array(s: np.ndarray) -> np.ndarray:
 
 def _doubled(rank: np.ndarray) -> np.ndarray:
     """Order of the suffixes of a string of names, comparing twice as many names in each round."""
-    n, width = len(rank), 1
+    n, width, rank = len(rank), 1, rank.astype(np.int64)
     while True:
         key = rank * (n + 1)
         key[: n - width] += rank[width:] + 1
@@ -161,10 +161,10 @@ def _words8(b: np.ndarray) -> np.ndarray:
 
 def common_prefixes(b: np.ndarray, sa: np.ndarray, cap: int) -> np.ndarray:
     """Permuted common prefixes: for each place of the text, bytes shared with the suffix before it in ``sa``, up to ``cap``."""
-    before = np.full(len(b), -1, np.int64)
+    before = np.full(len(b), -1, np.int32)
     before[sa[1:]] = sa[:-1]
     padded = _words8(np.r_[b, np.zeros(cap + 8, b.dtype)])
-    out = np.zeros(len(b), np.int64)
+    out = np.zeros(len(b), np.int32)
     i = np.flatnonzero(before >= 0)
     for off in range(0, cap, 8):
         j = before[i]
@@ -172,22 +172,22 @@ def common_prefixes(b: np.ndarray, sa: np.ndarray, cap: int) -> np.ndarray:
         same = differ == 0
         part = i[~same]
         low = differ[~same]
-        out[part] = off + np.bitwise_count((low & (~low + np.uint64(1))) - np.uint64(1)).astype(np.int64) // 8
+        out[part] = off + np.bitwise_count((low & (~low + np.uint64(1))) - np.uint64(1)).astype(np.int32) // 8
         i = i[same]
     out[i] = cap
-    return np.minimum(out, np.minimum(cap, len(b) - np.maximum(np.arange(len(b)), before)))
+    return np.minimum(out, np.minimum(cap, len(b) - np.maximum(np.arange(len(b), dtype=np.int32), before)))
 
 
 def repeated_windows(cells: list[bytes], window: int = WINDOW) -> list[np.ndarray]:
     """For each cell the starts of windows that also start at an earlier place of this list."""
     length = np.array([len(c) for c in cells])
     starts = np.cumsum(length + 1) - length - 1
-    text = np.zeros(int(length.sum()) + len(cells) + 1, np.int64)
+    text = np.zeros(int(length.sum()) + len(cells) + 1, np.int32)
     b = np.zeros(len(text), np.uint8)
-    left = np.zeros(len(text), np.int64)
+    left = np.zeros(len(text), np.int32)
     for at, c in zip(starts, cells, strict=True):
         b[at : at + len(c)] = np.frombuffer(c, np.uint8)
-        text[at : at + len(c)] = b[at : at + len(c)].astype(np.int64) + 2
+        text[at : at + len(c)] = b[at : at + len(c)].astype(np.int32) + 2
         left[at : at + len(c)] = np.arange(len(c), 0, -1)
         text[at + len(c)] = 1
     sa = suffix_array(text)
@@ -345,25 +345,29 @@ def merged(spans: np.ndarray) -> list[tuple[int, int]]:
     return list(zip(spans[np.r_[0, cut + 1], 0].tolist(), reach[np.r_[cut, len(spans) - 1]].tolist(), strict=True))
 
 
-def _removed(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for f in bounded(frames):
-        rows = []
-        for t, spans in zip(f["text"], f["spans"], strict=True):
-            data = raw(t)
-            runs = merged(np.array([(x["start"], x["stop"]) for x in spans], np.int64).reshape(-1, 2)) if spans is not None else []
-            kept, at = [], 0
-            for a, e in runs:
-                kept.append(data[at:a])
-                at = e
-            rest = b"".join([*kept, data[at:]])
-            whole = rest.decode("utf-8", "ignore")  # of characters cut in half nothing stays
-            rows.append((len(data), len(data) - len(rest), len(runs), hashlib.sha256(rest).hexdigest(), rest, whole))
-        got = pd.DataFrame(rows, columns=["n_bytes", "n_removed", "n_spans", "kept_sha256", "kept", "kept_text"])
-        yield pd.concat([f.drop(columns=["text", "spans"]).reset_index(drop=True), got], axis=1)
+def _removed(with_kept: tuple[str, ...]):
+    def rows(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for f in bounded(frames):
+            made = []
+            for t, spans in zip(f["text"], f["spans"], strict=True):
+                data = raw(t)
+                runs = merged(np.array([(x["start"], x["stop"]) for x in spans], np.int64).reshape(-1, 2)) if spans is not None else []
+                kept, at = [], 0
+                for a, e in runs:
+                    kept.append(data[at:a])
+                    at = e
+                rest = b"".join([*kept, data[at:]])
+                whole = {"kept": lambda r=rest: r, "kept_text": lambda r=rest: r.decode("utf-8", "ignore")}  # of characters cut in half nothing stays
+                made.append((len(data), len(data) - len(rest), len(runs), hashlib.sha256(rest).hexdigest(), *[whole[k]() for k in with_kept]))
+            got = pd.DataFrame(made, columns=["n_bytes", "n_removed", "n_spans", "kept_sha256", *with_kept])
+            yield pd.concat([f.drop(columns=["text", "spans"]).reset_index(drop=True), got], axis=1)
+
+    return rows
 
 
-def without_repeats(docs: DataFrame, keep: tuple[str, ...] = (), with_kept: bool = False) -> DataFrame:
-    """``doc_id, n_bytes, n_removed, n_spans, kept_sha256`` (and ``kept``, the remaining bytes, ``kept_text``, and the columns in ``keep``).
+def without_repeats(docs: DataFrame, keep: tuple[str, ...] = (), with_kept: tuple[str, ...] = ()) -> DataFrame:
+    """``doc_id, n_bytes, n_removed, n_spans, kept_sha256`` and the columns in ``keep``; ``with_kept`` asks for ``kept``, the remaining
+    bytes, or ``kept_text``, or both.
 
     Removes every byte covered by a ``WINDOW``-byte string that also starts earlier: in a smaller doc_id (null first), or
     in the same document further left. Rows with one doc_id are ordered by a hash of their text; rows that repeat doc_id
@@ -378,6 +382,6 @@ def without_repeats(docs: DataFrame, keep: tuple[str, ...] = (), with_kept: bool
     joined = source.join(spans, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("text_key") == F.col("k")), "left").drop("d", "k", "text_key")
     kinds = {f.name: f.dataType.simpleString() for f in source.schema}
     names = ["doc_id", *[c for c in keep if c not in ("doc_id", "text")]]
-    schema = ", ".join(f"`{c}` {kinds[c]}" for c in names) + ", n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary, kept_text string"
-    out = joined.select(*[f"`{c}`" for c in names], "text", "spans").mapInPandas(_removed, schema)
-    return out if with_kept else out.drop("kept", "kept_text")
+    schema = ", ".join(f"`{c}` {kinds[c]}" for c in names) + ", n_bytes long, n_removed long, n_spans long, kept_sha256 string"
+    schema += "".join(f", {k} {'binary' if k == 'kept' else 'string'}" for k in with_kept)
+    return joined.select(*[f"`{c}`" for c in names], "text", "spans").mapInPandas(_removed(with_kept), schema)
