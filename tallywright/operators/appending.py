@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.exprs import drop_commas
+from ..observed import Counted, watched
 
 
 def pick(df: DataFrame, positions: Sequence[int]) -> DataFrame:
@@ -87,6 +88,24 @@ def append_two_stage(
     )
 
 
+def append_counted(base: DataFrame, mid: DataFrame, app: DataFrame, **names) -> Counted:
+    """``append_two_stage`` and, from the same pass, how many base ids met a row.
+
+    ``records``, ``with_mid``, ``without_mid`` (``only_base`` of ``append_match_counts``), ``with_app``, ``without_app``.
+    Marks ride along as constant columns of the right sides and go before the rows are handed on.
+    """
+    marked = {"mid": mid.withColumn("_has_mid", F.lit("1")), "app": app.withColumn("_has_app", F.lit("1"))}
+    more = names | {"mid_cols": [*names["mid_cols"], "_has_mid"], "app_cols": [*names["app_cols"], "_has_app"]}
+    joined = append_two_stage(base, marked["mid"], marked["app"], **more)
+    rows, seen = watched(
+        joined,
+        {"records": F.count(F.lit(1))}
+        | {f"with_{side}": F.count_if(F.col(f"_has_{side}") == "1") for side in ("mid", "app")}
+        | {f"without_{side}": F.count_if(F.col(f"_has_{side}") == "") for side in ("mid", "app")},
+    )
+    return Counted(rows.drop("_has_mid", "_has_app"), seen, ["records", "with_mid", "without_mid", "with_app", "without_app"])
+
+
 def append_match_counts(
     base: DataFrame, mid: DataFrame, app: DataFrame, *, base_id: str, mid_id: str, mid_key: str, app_key: str
 ) -> DataFrame:

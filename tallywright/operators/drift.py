@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.exprs import pct_change
+from ..observed import Counted, counted
 from ..runtime import compute_once, durable, rows_of, small_side
 from .rank import ordered
 
@@ -93,14 +94,19 @@ def drift_records(old: DataFrame, new: DataFrame, key: str) -> DataFrame:
     return per_key.select(key, "n_old", "n_new", _status(F.col("n_old"), F.col("n_new"), F.col("same")).alias("status"))
 
 
+def _record_counters() -> dict[str, Column]:
+    return {s: F.count_if(F.col("status") == s) for s in STATUSES} | {"in_both": F.count_if((F.col("n_old") > 0) & (F.col("n_new") > 0))}
+
+
+def drift_records_counted(old: DataFrame, new: DataFrame, key: str) -> Counted:
+    """``drift_records`` and, from the same pass, the counters of ``drift_records_summary``."""
+    return counted(drift_records(old, new, key), _record_counters())
+
+
 def drift_records_summary(old: DataFrame, new: DataFrame, key: str) -> DataFrame:
     """Keys per status, and keys present in both snapshots (status ``in_both``)."""
-    totals = drift_records(old, new, key).agg(
-        *[F.count_if(F.col("status") == s).alias(s) for s in STATUSES],
-        F.count_if((F.col("n_old") > 0) & (F.col("n_new") > 0)).alias("in_both"),
-    )
-    names = (*STATUSES, "in_both")
-    return rows_of(totals, "status", "n", [(s, F.col(s)) for s in names]).select("status", "n")
+    totals = drift_records(old, new, key).agg(*[c.alias(s) for s, c in _record_counters().items()])
+    return rows_of(totals, "status", "n", [(s, F.col(s)) for s in totals.columns]).select("status", "n")
 
 
 def field_changes(

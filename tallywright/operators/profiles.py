@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.exprs import norm_handle, pretty_title
+from ..observed import Counted, total, watched
 from ..runtime import compute_once, durable, rows_of
 
 PROFILES_PATH = "$.socialProfiles"  # fixed value: name of the array in the document
@@ -91,24 +92,32 @@ def _pairs(types: Column) -> Column:
     )
 
 
+def _type_sets(parsed: DataFrame, strict: bool) -> DataFrame:
+    """``none, types, n``: lines by their types in order, repeats included, and by whether they have no array.
+
+    There are few such lists, so all that follows works on these instead of on the lines.
+    """
+    typed = compute_once(parsed, (F.col("status") == "no_profiles").alias("none"), F.array_sort(_types(strict)).alias("types"))
+    return typed.groupBy("none", "types").agg(F.count(F.lit(1)).alias("n"))
+
+
 def profile_token_counts(parsed: DataFrame, strict: bool = False) -> DataFrame:
     """``token, n`` over all lines: ``records``, types, type pairs, ``has_<type>`` and ``no-sp``."""
-    typed = compute_once(parsed, "status", _types(strict).alias("types"))
-    none = F.array().cast("array<string>")
+    nothing = F.array().cast("array<string>")
     tokens = F.concat(
         F.array(F.lit("records")),
-        F.coalesce("types", none),
-        F.coalesce(_pairs(F.col("types")), none),
-        F.coalesce(F.transform(F.array_distinct("types"), lambda t: F.concat(F.lit("has_"), t)), none),
-        F.when(F.col("status") == "no_profiles", F.array(F.lit("no-sp"))).otherwise(none),
+        F.coalesce("types", nothing),
+        F.coalesce(_pairs(F.col("types")), nothing),
+        F.coalesce(F.transform(F.array_distinct("types"), lambda t: F.concat(F.lit("has_"), t)), nothing),
+        F.when(F.col("none"), F.array(F.lit("no-sp"))).otherwise(nothing),
     )
-    listed = compute_once(typed, tokens.alias("tokens"))
-    return listed.select(F.explode("tokens").alias("token")).groupBy("token").agg(F.count(F.lit(1)).alias("n"))
+    listed = _type_sets(parsed, strict).select("n", F.explode(tokens).alias("token"))
+    return listed.groupBy("token").agg(F.sum("n").alias("n"))
 
 
 def profile_pair_counts(parsed: DataFrame, strict: bool = False) -> DataFrame:
     """How many records hold both types: ``type_a, type_b, n``."""
-    types = compute_once(parsed, F.array_sort(F.array_distinct(_types(strict))).alias("types"))
+    distinct = _type_sets(parsed, strict).select("n", F.array_distinct("types").alias("types"))
     pairs = F.flatten(
         F.transform(
             "types",
@@ -117,8 +126,8 @@ def profile_pair_counts(parsed: DataFrame, strict: bool = False) -> DataFrame:
             ),
         )
     )
-    listed = compute_once(types, pairs.alias("pairs"))
-    return listed.select(F.inline("pairs")).groupBy("type_a", "type_b").agg(F.count(F.lit(1)).alias("n"))
+    listed = compute_once(distinct, "n", pairs.alias("pairs"))
+    return listed.select("n", F.inline("pairs")).groupBy("type_a", "type_b").agg(F.sum("n").alias("n"))
 
 
 def token_percent(counts: DataFrame) -> DataFrame:
@@ -136,70 +145,87 @@ def _wanted(type_: str) -> Column:
     )
 
 
-def extract_profiles(parsed: DataFrame, type_: str, strict: bool = False, lenient: bool = False) -> DataFrame:
-    """``key, handle, id`` per profile of the wanted type that has a handle or an id.
+def _has(p: Column, member: str) -> Column:
+    return p.getField(f"{member}_kind").isNotNull()
+
+
+def _chosen(parsed: DataFrame, type_: str) -> DataFrame:
+    """Per line its status, profiles in all, profiles of the wanted type, and those of them with a handle or an id."""
+    ok = F.col("status") == "ok"
+    first = compute_once(parsed, "key", "status", F.when(ok, F.size("profiles")).alias("size"), F.when(ok, _wanted(type_)).alias("wanted"))
+    return compute_once(first, "key", "status", "size", "wanted", F.filter("wanted", lambda p: _has(p, "username") | _has(p, "id")).alias("emitted"))
 
-    An invalid handle is blank; a record with an array but no such profile gives one row with blanks; a
-    record without array gives none. ``lenient`` only lower-cases the handle, keeps profiles with neither and
-    gives no blank rows. A handle or id that is not text raises when ``strict``, else is blank.
-    """
-    kept = parsed.where(F.col("status") == "ok")
-    has = lambda p, f: p.getField(f"{f}_kind").isNotNull()
+
+def _rows(profiles: Column, strict: bool, lenient: bool) -> Column:
+    """One ``handle, id`` per profile."""
 
     def text(p: Column, f: str) -> Column:
         fine = p.getField(f"{f}_kind") == "STRING"
         other = F.lit("")
         if strict:
             wrong = F.raise_error(F.lit(f"profile {f} is not a string")).cast("string")
-            other = F.when(has(p, f) & ~fine, wrong).otherwise(F.lit(""))
+            other = F.when(_has(p, f) & ~fine, wrong).otherwise(F.lit(""))
         return F.when(fine, p.getField(f)).otherwise(other)
 
     def row(p: Column) -> Column:
         handle = F.lower(text(p, "username")) if lenient else F.coalesce(norm_handle(text(p, "username")), F.lit(""))
         return F.struct(handle.alias("handle"), text(p, "id").alias("id"))
 
+    rows = F.transform(profiles, row)
+    if lenient:
+        return rows
+    blank = F.array(F.struct(F.lit("").alias("handle"), F.lit("").alias("id")))
+    return F.when(F.size(rows) == 0, blank).otherwise(rows)
+
+
+def extract_profiles(parsed: DataFrame, type_: str, strict: bool = False, lenient: bool = False) -> DataFrame:
+    """``key, handle, id`` per profile of the wanted type that has a handle or an id.
+
+    An invalid handle is blank; a record with an array but no such profile gives one row with blanks; a
+    record without array gives none. ``lenient`` only lower-cases the handle, keeps profiles with neither and
+    gives no blank rows. A handle or id that is not text raises when ``strict``, else is blank.
+    """
     wanted = _wanted(type_)
     if not lenient:
-        wanted = F.filter(wanted, lambda p: has(p, "username") | has(p, "id"))
-    rows = F.transform(wanted, row)
-    if not lenient:
-        blank = F.array(F.struct(F.lit("").alias("handle"), F.lit("").alias("id")))
-        rows = F.when(F.size(rows) == 0, blank).otherwise(rows)
-    return compute_once(kept, "key", rows.alias("rows")).select("key", F.inline("rows"))
+        wanted = F.filter(wanted, lambda p: _has(p, "username") | _has(p, "id"))
+    kept = parsed.where(F.col("status") == "ok")
+    return compute_once(kept, "key", _rows(wanted, strict, lenient).alias("rows")).select("key", F.inline("rows"))
+
+
+def _counters() -> dict[str, Column]:
+    """The ten counters of an extraction over the lines of ``_chosen``."""
+    ok = F.col("status") == "ok"
+    emitted, out = F.col("emitted"), F.when(ok, F.size("emitted"))
+    wanted = F.when(ok, F.size("wanted"))
+    return {
+        "records": F.count(F.lit(1)),
+        "no_profiles": F.count_if(F.col("status") == "no_profiles"),
+        "of_type": total(wanted),
+        "other_type": total(F.col("size") - wanted),
+        "tuples": total(out),
+        "with_0": F.count_if(out == 0),
+        "with_1": F.count_if(out == 1),
+        "with_2": F.count_if(out == 2),
+        "with_n": F.count_if(out > 2),
+        "no_id": total(F.when(ok, F.size(F.filter(emitted, lambda p: ~_has(p, "id"))))),
+    }
+
+
+def extract_counted(parsed: DataFrame, type_: str, strict: bool = False, lenient: bool = False) -> Counted:
+    """The rows of ``extract_profiles`` and, from the same pass, the counters of ``profile_counters``.
+
+    Lines are counted before those without a profile go; there is no second scan and no shuffle.
+    """
+    lines, seen = watched(_chosen(parsed, type_), _counters())
+    kept = lines.where(F.col("status") == "ok")
+    rows = _rows(F.col("wanted" if lenient else "emitted"), strict, lenient)
+    return Counted(compute_once(kept, "key", rows.alias("rows")).select("key", F.inline("rows")), seen, list(_counters()))
 
 
 def profile_counters(parsed: DataFrame, type_: str) -> DataFrame:
     """The ten counters of an extraction as ``counter, n`` rows, from one aggregate."""
-    ok = F.col("status") == "ok"
-    wanted = _wanted(type_)
-    emitted = F.filter(
-        "wanted", lambda p: p.getField("username_kind").isNotNull() | p.getField("id_kind").isNotNull()
-    )
-    chosen = compute_once(parsed, "status", F.size("profiles").alias("size"), wanted.alias("wanted"))
-    chosen = compute_once(chosen, "status", "size", F.size("wanted").alias("n_wanted"), emitted.alias("emitted"))
-    emitted = F.col("emitted")
-    sizes = chosen.select(
-        "status",
-        F.when(ok, F.col("n_wanted")).alias("hit"),
-        F.when(ok, F.col("size")).alias("all"),
-        F.when(ok, F.size(emitted)).alias("out"),
-        F.when(ok, F.size(F.filter(emitted, lambda p: p.getField("id_kind").isNull()))).alias("noid"),
-    )
-    total = lambda c: F.coalesce(F.sum(c), F.lit(0)).cast("bigint")
-    wide = sizes.agg(
-        F.count(F.lit(1)).alias("records"),
-        F.count_if(F.col("status") == "no_profiles").alias("no_profiles"),
-        total("hit").alias("of_type"),
-        total(F.col("all") - F.col("hit")).alias("other_type"),
-        total("out").alias("tuples"),
-        F.count_if(F.col("out") == 0).alias("with_0"),
-        F.count_if(F.col("out") == 1).alias("with_1"),
-        F.count_if(F.col("out") == 2).alias("with_2"),
-        F.count_if(F.col("out") > 2).alias("with_n"),
-        total("noid").alias("no_id"),
-    )
-    names = wide.columns
-    return rows_of(wide, "counter", "n", [(c, F.col(c)) for c in names]).select("counter", "n")
+    wide = _chosen(parsed, type_).agg(*[c.alias(n) for n, c in _counters().items()])
+    return rows_of(wide, "counter", "n", [(c, F.col(c)) for c in wide.columns]).select("counter", "n")
 
 
 # Fixed values (rows appended for places, which the dictionary does not translate)

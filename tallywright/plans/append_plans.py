@@ -6,6 +6,22 @@ from ..operators import appending
 from .catalog import query, table
 
 APP = ["l_returnflag", "l_linestatus", "l_partkey", "l_suppkey"]
+NAMES = {
+    "base_id": "c_custkey",
+    "base_cols": ["c_name", "c_mktsegment"],
+    "base_order": ["c_name"],
+    "mid_id": "o_custkey",
+    "mid_key": "o_orderkey",
+    "mid_cols": ["o_orderkey", "o_orderstatus"],
+    "mid_order": ["o_orderdate", "o_orderkey"],
+    "app_key": "l_orderkey",
+    "app_cols": APP,
+    "app_order": ["l_linenumber", "l_partkey", "l_suppkey", "l_returnflag", "l_linestatus"],
+}
+
+
+def sides(spark, d):
+    return [table(spark, d, name) for name in ("customer", "orders", "lineitem")]
 
 
 @query("append_two_stage", """
@@ -17,21 +33,18 @@ SELECT CAST(c.c_custkey AS VARCHAR) AS c_custkey, c.c_name, c.c_mktsegment, coal
 FROM customer AS c LEFT JOIN m ON m.o_custkey = c.c_custkey LEFT JOIN a ON a.l_orderkey = m.o_orderkey
 """)
 def append_two_stage(spark, d):
-    return appending.append_two_stage(
-        table(spark, d, "customer"),
-        table(spark, d, "orders"),
-        table(spark, d, "lineitem"),
-        base_id="c_custkey",
-        base_cols=["c_name", "c_mktsegment"],
-        base_order=["c_name"],
-        mid_id="o_custkey",
-        mid_key="o_orderkey",
-        mid_cols=["o_orderkey", "o_orderstatus"],
-        mid_order=["o_orderdate", "o_orderkey"],
-        app_key="l_orderkey",
-        app_cols=APP,
-        app_order=["l_linenumber", "l_partkey", "l_suppkey", "l_returnflag", "l_linestatus"],
-    )
+    return appending.append_two_stage(*sides(spark, d), **NAMES)
+
+
+@query("append_counters", """
+WITH m AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) AS rn FROM orders) WHERE rn = 1),
+j AS (SELECT m.o_orderkey AS m, EXISTS (SELECT 1 FROM lineitem AS l WHERE l.l_orderkey = m.o_orderkey) AS a FROM customer AS c LEFT JOIN m ON m.o_custkey = c.c_custkey)
+SELECT 'records' AS counter, CAST(count(*) AS BIGINT) AS n FROM j UNION ALL SELECT 'with_mid', count(m) FROM j UNION ALL SELECT 'without_mid', count(*) FILTER (m IS NULL) FROM j
+UNION ALL SELECT 'with_app', count(*) FILTER (a) FROM j UNION ALL SELECT 'without_app', count(*) FILTER (NOT a) FROM j
+""")
+def append_counters(spark, d):
+    """The counters that the job writing the appended rows makes."""
+    return appending.append_counted(*sides(spark, d), **NAMES).stored()[1]
 
 
 @query("append_match_counts", """

@@ -139,18 +139,28 @@ RECORDS = HALVES + """
 """
 
 
-@query("drift_records_summary", RECORDS + """
+RECORD_COUNTS = RECORDS + """
 SELECT 'added' AS status, CAST(count(*) FILTER (oid IS NULL) AS BIGINT) AS n FROM j
 UNION ALL SELECT 'deleted', count(*) FILTER (nid IS NULL) FROM j
 UNION ALL SELECT 'constant', count(*) FILTER (os = ns AND op = np AND ob = nb AND ol = nl) FROM j
 UNION ALL SELECT 'changed', count(*) FILTER (oid IS NOT NULL AND nid IS NOT NULL AND NOT (os = ns AND op = np AND ob = nb AND ol = nl)) FROM j
 UNION ALL SELECT 'in_both', count(*) FILTER (oid IS NOT NULL AND nid IS NOT NULL) FROM j
-""")
+"""
+
+
+@query("drift_records_summary", RECORD_COUNTS)
 def drift_records_summary(spark, d):
     old, new = halves(spark, d)
     return drift.drift_records_summary(last_orders(old), last_orders(new), "id")
 
 
+@query("drift_records_counters", f"SELECT status AS counter, n FROM ({RECORD_COUNTS})")
+def drift_records_counters(spark, d):
+    """The counters that the job writing the status of every key makes."""
+    old, new = halves(spark, d)
+    return drift.drift_records_counted(last_orders(old), last_orders(new), "id").stored()[1]
+
+
 @query("drift_fields", RECORDS + "SELECT id, field_label, old_label, new_label FROM f")
 def drift_fields(spark, d):
     old, new = halves(spark, d)

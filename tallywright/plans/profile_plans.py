@@ -93,18 +93,27 @@ def profile_extract_lenient(spark, d):
     return profiles.extract_profiles(parsed(spark, d), "click", lenient=True)
 
 
-@query("profile_counters", DOCS + """
+COUNTERS = DOCS + """
 , n AS (SELECT doc.event_id, (SELECT count(*) FROM out WHERE out.event_id = doc.event_id AND NOT bare) AS c FROM doc WHERE status = 'ok')
 SELECT 'records' AS counter, CAST(count(*) AS BIGINT) AS n FROM doc UNION ALL SELECT 'no_profiles', count(*) FROM doc WHERE status = 'no_profiles'
 UNION ALL SELECT 'of_type', count(*) FROM hit UNION ALL SELECT 'other_type', count(*) FROM p WHERE type IS NULL OR type <> 'click'
 UNION ALL SELECT 'tuples', count(*) FROM out WHERE NOT bare UNION ALL SELECT 'with_0', count(*) FROM n WHERE c = 0
 UNION ALL SELECT 'with_1', count(*) FROM n WHERE c = 1 UNION ALL SELECT 'with_2', count(*) FROM n WHERE c = 2
 UNION ALL SELECT 'with_n', count(*) FROM n WHERE c > 2 UNION ALL SELECT 'no_id', count(*) FROM out WHERE NOT bare AND no_id
-""")
+"""
+
+
+@query("profile_counters", COUNTERS)
 def profile_counters(spark, d):
     return profiles.profile_counters(parsed(spark, d), "click")
 
 
+@query("profile_extract_counters", COUNTERS)
+def profile_extract_counters(spark, d):
+    """The counters that the job writing the extracted rows makes."""
+    return profiles.extract_counted(parsed(spark, d), "click").stored()[1]
+
+
 @query("dictionary_flatten", """
 WITH b AS (SELECT DISTINCT p_brand, p_type, CAST(substr(p_brand, 7) AS BIGINT) AS i FROM part),
 r AS (SELECT CASE WHEN i % 2 = 0 THEN 'Brand of ' || i ELSE 'Title ' || p_brand END AS title, lower(replace(p_brand, '#', '_')) AS field, p_type AS value,
