@@ -15,6 +15,7 @@ from ..functions.exprs import PROFILE_URL_BY_ID, jround, trunc_to
 from ..runtime import durable, rows_of, small_side
 from .histogram import BOUNDS_3M, BOUNDS_500K, bucket_of, labels
 from .rank import global_rank
+from .selection import highest
 
 # Fixed values (two closed negative bands)
 NEGATIVE_BANDS = ((-10_000, -5_001), (-15_000, -10_001))
@@ -147,30 +148,29 @@ def top_deciles(
     deciles: int | None = None,
     choice: DataFrame | None = None,
     group_cols: Sequence[str] = (),
+    with_rank: bool = True,
 ) -> DataFrame:
-    """Rows of the best deciles by score.
+    """Rows of the best deciles by score, with their ``rank`` if asked for.
 
     ``deciles`` applies to all rows; ``choice`` (the group columns and ``deciles``) sets the number per
     group, and a group it does not name is an error, like an unknown job. A row without a score (null or
-    not a number) has no rank, whatever the number of deciles.
+    not a number) has no rank, whatever the number of deciles. How many rows a group gives is known from its positive
+    scores, so ``selection.highest`` finds them without sorting the others.
     """
     groups = list(group_cols)
     number = F.col(score).cast("double")
     df = df.where(number.isNotNull() & ~F.isnan(number))
-    if choice is None and deciles is not None and deciles <= 10:
-        # ten chunks never hold more rows than there are positive scores, so the others need no sorting
-        positive = df.where(jround(score) > 0)
-        ranked = _ranked_with_size(positive, score, tie_break, groups)
-    else:
-        ranked = _ranked_with_size(df, score, tie_break, groups)
+    size = (F.col("tens") / 10).cast("bigint")
+    too_few = F.raise_error(F.lit("fewer than ten positive scores: no decile can be formed")).cast("bigint")
+    goals = _chunk_sizes(df, score, groups).withColumn("chunk", F.when(size == 0, too_few).otherwise(size))
     if choice is None:
         wanted = F.lit(deciles)
     else:
         picks = choice.select(*[F.col(g).alias(f"_c_{g}") for g in groups], F.col("deciles").cast("bigint").alias("_d"))
-        ranked = ranked.join(small_side(picks), [F.col(g) == F.col(f"_c_{g}") for g in groups], "left")
+        goals = goals.join(picks, [F.col(g) == F.col(f"_c_{g}") for g in groups], "left")
         missing = F.raise_error(F.lit("no number of deciles chosen for a group")).cast("bigint")
         wanted = F.coalesce(F.col("_d"), missing)
-    return ranked.where(F.col("rank") <= wanted * F.col("chunk")).select(*df.columns, "rank")
+    return highest(df, score, tie_break, goals.select(*groups, (wanted * F.col("chunk")).alias("k")), groups, with_rank)
 
 
 def analysis_report(df: DataFrame, score: str, group_cols: Sequence[str] = ()) -> DataFrame:

@@ -166,7 +166,7 @@ def decile_bounds(spark, d):
 
 @query("top_deciles", f"{RANKED} SELECT id, score FROM r WHERE rank <= 3 * chunk")
 def top_deciles(spark, d):
-    return scoring.top_deciles(scored(spark, d), "score", ["id"], deciles=3).select("id", "score")
+    return scoring.top_deciles(scored(spark, d), "score", ["id"], deciles=3, with_rank=False).select("id", "score")
 
 
 @query("top_deciles_per_file", f"""{S}, c AS (SELECT file, count(*) FILTER (v > 0) // 10 AS chunk, 1 + length(file) % 3 AS deciles FROM s GROUP BY 1),
@@ -175,7 +175,12 @@ SELECT file, id, score FROM r WHERE rank <= deciles * chunk""")
 def top_deciles_per_file(spark, d):
     data = scored(spark, d)
     choice = data.select("file").distinct().withColumn("deciles", 1 + F.length("file") % 3)
-    return scoring.top_deciles(data, "score", ["id"], choice=choice, group_cols=["file"]).select("file", "id", "score")
+    return scoring.top_deciles(data, "score", ["id"], choice=choice, group_cols=["file"], with_rank=False).select("file", "id", "score")
+
+
+@query("top_deciles_ranked", f"{RANKED} SELECT id, score, rank FROM r WHERE rank <= 11 * chunk")
+def top_deciles_ranked(spark, d):
+    return scoring.top_deciles(scored(spark, d), "score", ["id"], deciles=11).select("id", "score", "rank")
 
 
 @query("batch_keys", f"""{S}, r AS (SELECT id, row_number() OVER (ORDER BY id) - 1 AS p FROM s)
