@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.exprs import PROFILE_URL_PREFIX
 from ..runtime import durable, small_side
+from ..sources.keyed import KeyedTable
 
 
 def map_codes(rows: DataFrame, codes: DataFrame, key: str = "id", on_missing: str = "raise") -> DataFrame:
@@ -55,6 +56,22 @@ def merge_audiences(
     return merged.where(F.col("_new")).select(key, "labels")
 
 
+def store_merged(table: KeyedTable, incoming: DataFrame, codes: DataFrame) -> DataFrame:
+    """Merge incoming labels into a stored table of ``id, labels`` and give the rows written.
+
+    Only stored ids that are also incoming are looked up; all other ids stay as they are. A second run adds nothing.
+    """
+    stored = table.of(incoming).select(table.key, F.explode("labels").alias("label"))
+    merged = durable(merge_audiences(stored, incoming, codes, table.key))
+    table.upsert(merged)
+    return merged
+
+
+def store_tag(table: KeyedTable, ids: DataFrame, tag: str, tags: str = "tags") -> None:
+    """Add a tag to the stored rows of the named ids; ids without a row, and all other rows, stay as they are."""
+    table.upsert(add_tag(table.of(ids), ids, tag, table.key, tags))
+
+
 def merge_counts(merged: DataFrame) -> DataFrame:
     """Records written and labels on them."""
     return merged.agg(

@@ -55,5 +55,6 @@ def load_all() -> None:
         overlap_plans,
         profile_plans,
         score_plans,
+        store_plans,
         stream_plans,
     )

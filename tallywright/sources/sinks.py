@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.exprs import csv_line
+from ..runtime import durable
 
 
 def write_text(df: DataFrame, path: str, n_files: int | None = None, mode: str = "errorifexists") -> None:
@@ -47,6 +48,36 @@ def export_named(df: DataFrame, name_col: str, path: str, mode: str = "errorifex
     df.select(name_col, "value").write.mode(mode).partitionBy(name_col).text(path)
 
 
+def write_cells(cells: DataFrame, path: str, mode: str = "errorifexists") -> None:
+    """Cells in one folder per attribute, so that a scan of some attributes reads no other."""
+    cells.repartition("attr", F.pmod(F.xxhash64("key"), F.lit(cells.sparkSession.sparkContext.defaultParallelism))).write.mode(mode).partitionBy("attr").parquet(path)
+
+
+def write_dated(df: DataFrame, base: str, day: str, mode: str = "errorifexists") -> None:
+    """A snapshot in its own folder ``base/day``, as ``readers.resolve_dated`` looks for; ``day`` is eight digits."""
+    if len(day) != 8 or not (day.isascii() and day.isdigit()):
+        raise ValueError(f"a day has eight digits: {day!r}")
+    df.write.mode(mode).parquet(f"{base.rstrip('/')}/{day}")
+
+
+def deliver_once(df: DataFrame, send: Callable[[str], None], ledger: str, payload: str = "payload") -> DataFrame:
+    """``deliver`` of the payloads that no earlier call has sent with success: ``outcome, payload``.
+
+    Outcomes are kept under ``ledger`` by a digest of the payload, so a rerun sends only what failed or is new. Equal
+    payloads are sent once. A run that is lost before its outcomes are kept sends again, as ``deliver`` may.
+    """
+    spark = df.sparkSession
+    digest = F.sha2(F.col(payload), 256).alias("digest")
+    todo = df.select(payload).where(F.col(payload).isNotNull()).distinct().select(payload, digest)
+    at = spark._jvm.org.apache.hadoop.fs.Path(ledger)
+    if at.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).exists(at):
+        kept = spark.read.schema("digest string, outcome string").parquet(ledger)
+        todo = todo.join(kept.where("outcome = 'success'").select("digest"), "digest", "left_anti")
+    outcomes = durable(deliver(todo, send, payload))
+    outcomes.select(F.sha2("payload", 256).alias("digest"), "outcome").write.mode("append").parquet(ledger)
+    return outcomes
+
+
 def deliver(df: DataFrame, send: Callable[[str], None], payload: str = "payload") -> DataFrame:
     """Send every payload with a function of the caller and keep ``outcome, payload``.
 
