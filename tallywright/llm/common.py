@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterable, Iterator, Sequence
 
 import numpy as np
 import pandas as pd
@@ -75,3 +75,15 @@ def text_key(text: str = "text") -> Column:
 def only(df: DataFrame, names: Iterable[str]) -> DataFrame:
     """The columns an operator needs; others may have any name without clashing."""
     return df.select(*[F.col(f"`{n}`") for n in names])
+
+
+def carried(df: DataFrame, needed: Sequence[str], replaced: Sequence[str]) -> tuple[DataFrame, list[Column]]:
+    """The needed columns with all others of the caller in one struct, and the columns that restore their order.
+
+    Inside an operator no name of the caller can clash then. Columns that the operator makes itself are left out.
+    """
+    made = {c.lower() for c in replaced}
+    names = [c for c in df.columns if c.lower() not in made]
+    rest = [F.col(f"`{c}`") for c in names if c not in needed]
+    inner = df.select(*[F.col(f"`{c}`") for c in needed], (F.struct(*rest) if rest else F.lit(0)).alias("_row"))
+    return inner, [F.col(c) if c in needed else F.col(f"_row.`{c}`").alias(c) for c in names]

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..runtime import compute_once, durable, small_side
-from .common import text_key
+from .common import carried, text_key
 
 #: Short notices and header lines of public licenses (fixed values).
 TEMPLATES = (
@@ -122,7 +122,7 @@ def scanned(files: DataFrame, near: float = NEAR) -> DataFrame:
     equal directories the better score counts. A null or empty text has no own license, a null path inherits
     nothing; repeated rows stay and are judged alike. DataFrame functions only.
     """
-    keep = [c for c in files.columns if c not in ("text", "own_license", "score", "license", "inherited_from")]
+    files, own_columns = carried(files, ["path", "text"], ["text", "own_license", "score", "license", "inherited_from"])
     rows = files.withColumn("_key", F.xxhash64(F.coalesce("path", F.lit("")), text_key()))
     found, rarer, weight = found_licenses(files.select("text"), near)
     best = durable(found)
@@ -131,7 +131,7 @@ def scanned(files: DataFrame, near: float = NEAR) -> DataFrame:
     hits = lines.where(F.lower("line").rlike(one_of))
     own = hits.join(small_side(best), "line").select("_key", F.struct("score", "license").alias("own"))
     own = own.unionByName(runs_of_words(rows.select("_key", "text"), rarer, weight, near)).groupBy("_key").agg(F.max("own").alias("own"))
-    known = durable(rows.select(*keep, "_key").join(own, "_key", "left"))
+    known = durable(rows.select("path", "_row", "_key").join(own, "_key", "left"))
 
     folder = F.regexp_replace("path", r"/?[^/]*\z", "")
     name = F.regexp_extract("path", r"([^/]*)\z", 1)
@@ -144,7 +144,7 @@ def scanned(files: DataFrame, near: float = NEAR) -> DataFrame:
     nearest = above.groupBy("folder").agg(F.max(F.struct(F.length("up").alias("n"), F.col("up"), F.col("of_up"))).alias("near"))
     joined = known.withColumn("_folder", F.when(F.col("own").isNull(), folder)).join(nearest, F.col("_folder") == F.col("folder"), "left")
     return joined.select(
-        *keep,
+        *own_columns,
         F.col("own.license").alias("own_license"),
         F.coalesce("own.score", "near.of_up.score").alias("score"),
         F.coalesce("own.license", "near.of_up.license").alias("license"),

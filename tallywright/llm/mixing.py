@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..operators.rank import global_rank
 from ..runtime import durable, small_side
-from .common import text_key
+from .common import carried, text_key
 
 #: A source's keys are counted in so many parts; only the part in which its budget ends is sorted.
 PARTS = 4096
@@ -69,6 +69,7 @@ def mixed(docs: DataFrame, weights: Sequence[int] = (3, 1, 2), share: float = 1.
     A null text has size 0 and is taken 0 words of; sources of size 0 have target 0. A null source is a source. Rows that repeat
     doc_id and text have one key and are drawn together. Columns of those names in ``docs`` are replaced.
     """
+    docs, own = carried(docs, ["doc_id", "text", "source"], ["size", "source_size", "target", "quality", "copies", "taken"])
     unit = (F.shiftrightunsigned(F.xxhash64("doc_id", text_key()), 11) + F.lit(1)) / F.lit(float((1 << 53) + 1))
     keyed = docs.withColumns({"size": words_in(), "quality": quality_weight()})
     keyed = keyed.withColumn("_key", F.struct((-F.log(unit) / F.col("quality")).alias("e"), F.col("doc_id").alias("d"), text_key().alias("k")))
@@ -100,8 +101,8 @@ def mixed(docs: DataFrame, weights: Sequence[int] = (3, 1, 2), share: float = 1.
     names = {"source": "_s", "source_size": "source_size", "target": "target", "epochs": "_epochs", "last_part": "_last", "cut": "_cut"}
     plan = durable(plan.select(*[F.col(a).alias(b) for a, b in names.items()]))
 
-    keyed = keyed.drop("source_size", "target", "copies", "taken").withColumn("_part", part)
+    keyed = keyed.withColumn("_part", part)
     more = (F.col("_part") < F.col("_last")) | (F.col("_part") == F.col("_last")) & (F.col("_key") <= F.col("_cut"))
     copies = F.when(F.col("size") > 0, F.col("_epochs") + F.coalesce(more.cast("int"), F.lit(0))).otherwise(0)
     joined = keyed.join(small_side(plan), F.col("source").eqNullSafe(F.col("_s"))).withColumn("copies", copies.cast("int"))
-    return joined.withColumn("taken", (F.col("copies") * F.col("size")).cast("long")).drop("_key", "_part", "_s", "_epochs", "_last", "_cut")
+    return joined.select(*own, "size", "source_size", "target", "quality", "copies", (F.col("copies") * F.col("size")).cast("long").alias("taken"))
