@@ -10,18 +10,29 @@ from pyspark.sql import functions as F
 
 from ..runtime import compute_once
 
-# Fixed values (coded fields of a household record that contradict each other)
-GENDER_AGAINST_HOUSEHOLD = (("F", "J"), ("F", "I"), ("M", "L"), ("M", "K"))
-HOUSEHOLDS_WITHOUT_CHILDREN = ("B", "D", "F", "H", "J", "L")
-CHILD_AGE_FIELDS = ("k_children_0_2", "k_children_3_5", "k_children_6_10", "k_children_11_15", "k_children_16_18")
+# Fixed values (coded fields of a household record that contradict each other, in the order they are tried)
+CONFLICT_RULES = (
+    ("code1", "k_gender = 'F' AND k_hh_composition = 'J'"),
+    ("code2", "k_gender = 'F' AND k_hh_composition = 'I'"),
+    ("code3", "k_gender = 'M' AND k_hh_composition = 'L'"),
+    ("code4", "k_gender = 'M' AND k_hh_composition = 'K'"),
+    ("code5", "k_hh_composition = 'B' AND k_children_present = 'Y'"),
+    ("code6", "k_hh_composition = 'D' AND k_children_present = 'Y'"),
+    ("code7", "k_hh_composition = 'F' AND k_children_present = 'Y'"),
+    ("code8", "k_hh_composition = 'H' AND k_children_present = 'Y'"),
+    ("code9", "k_hh_composition = 'J' AND k_children_present = 'Y'"),
+    ("code10", "k_hh_composition = 'L' AND k_children_present = 'Y'"),
+    ("code11", "k_children_present = '' AND k_children_0_2 = 'Y'"),
+    ("code12", "k_children_present = '' AND k_children_3_5 = 'Y'"),
+    ("code13", "k_children_present = '' AND k_children_6_10 = 'Y'"),
+    ("code14", "k_children_present = '' AND k_children_11_15 = 'Y'"),
+    ("code15", "k_children_present = '' AND k_children_16_18 = 'Y'"),
+)
 
 
 def conflict_rules() -> list[tuple[str, str]]:
     """The fifteen conflict rules as ``(label, SQL predicate)``, in the order they are tried."""
-    tests = [f"k_gender = '{g}' AND k_hh_composition = '{h}'" for g, h in GENDER_AGAINST_HOUSEHOLD]
-    tests += [f"k_hh_composition = '{h}' AND k_children_present = 'Y'" for h in HOUSEHOLDS_WITHOUT_CHILDREN]
-    tests += [f"k_children_present = '' AND {f} = 'Y'" for f in CHILD_AGE_FIELDS]
-    return [(f"code{i}", t) for i, t in enumerate(tests, start=1)]
+    return list(CONFLICT_RULES)
 
 
 def classify(df: DataFrame, rules: Sequence[tuple[str, str]], default: str = "perfect", out: str = "label") -> DataFrame:

@@ -123,16 +123,16 @@ def partition_boundary(names: DataFrame, col: str, base: str) -> DataFrame:
     return names.agg(F.to_date(F.concat(month, F.lit("-01"))).alias("boundary"))
 
 
-# Fixed values (member names of a job document)
+#: Members of a job document that are read, unless the caller gives another schema.
 HISTORY_SCHEMA = (
     "id string, job_submission struct<selection: struct<segment: string>>, "
     "export_submission struct<base_uri: string>"
 )
 
 
-def read_history(spark: SparkSession, path: str) -> DataFrame:
+def read_history(spark: SparkSession, path: str, schema: str = HISTORY_SCHEMA) -> DataFrame:
     """Job documents of a JSON array with their place in it."""
-    docs = spark.read.option("multiLine", True).schema(HISTORY_SCHEMA).json(path)
+    docs = spark.read.option("multiLine", True).schema(schema).json(path)
     return docs.withColumn("pos", F.monotonically_increasing_id())
 
 
