@@ -288,8 +288,8 @@ def test_search_ids(spark, docs, shard, monkeypatch):
 def test_rounded_ties_in_another_block(monkeypatch):
     monkeypatch.setattr(search, "BLOCK", 1)
     term = np.array([1], np.uint64)
-    index = search.Index([(term, np.array([1]))] * 12, term, 1.0)
-    index.impact[:] = index.most[:] = [1.0] * 6 + [1.0 - 3e-7] * 6  # all are 1 when rounded
+    index = search.Index([(term, np.array([1]))] * 12, np.ones(12), term, 1.0)
+    index.impact[:] = index.own_impact[:] = index.most[:] = [1.0] * 6 + [1.0 - 3e-7] * 6  # all are 1 when rounded
     best, score = index.top(np.array([0]), np.array([1.0]), 2, np.array([], int))
     assert best.tolist() == list(range(12)) and set(score) == {1.0}
 
@@ -401,3 +401,34 @@ def test_no_rows(spark, none):
         quality.judged(none), search.searched(none, none), toxicity.toxicity(none, label),
     ]
     assert [df.count() for df in frames] == [0] * len(frames)
+
+
+def test_search_waves():
+    assert search.waves(1, 1) == [(0, 1)]
+    assert search.waves(6, 1) == [(0, 1), (1, 2), (2, 4), (4, 6)]
+    got = search.waves(1_500, 37)  # many blocks of queries: short waves
+    assert max(b - a for a, b in got) == 41 and [a for a, _ in got][1:] == [b for _, b in got][:-1] and got[-1][1] == 1_500
+
+
+@pytest.mark.parametrize("lookups", [1 << 20, 40])
+def test_least_score_loses_nothing(monkeypatch, lookups):
+    monkeypatch.setattr(search, "BLOCK", 8)
+    monkeypatch.setattr(search, "PART", 50)
+    monkeypatch.setattr(search, "LOOKUPS", lookups)
+    rng = np.random.default_rng(3)
+    bags = [np.unique(np.minimum(rng.zipf(1.3, 30), 400).astype(np.uint64), return_counts=True) for _ in range(300)]
+    words = np.array([c.sum() for _, c in bags], float)
+    asked = np.arange(1, 401, dtype=np.uint64)
+    index = search.Index(bags, words, asked, words.mean())
+    terms, weights = rng.choice(400, 25, replace=False), rng.random(25) * 9
+    norm = search.K1 * (1 - search.B + search.B * words / words.mean())
+    dense = np.zeros((300, 400))
+    for d, (t, c) in enumerate(bags):
+        dense[d, t.astype(int) - 1] = c * (search.K1 + 1) / (c + norm[d])
+    plain = np.round(dense[:, terms] @ weights, 6)
+    plain[7] = 0
+    want = np.sort(plain)[::-1][:10]
+    for least in (0.0, want[9] * 0.5, want[9]):
+        _, got = index.top(terms, weights, 10, np.array([7]), least)
+        assert np.sort(got)[::-1][:10] == pytest.approx(want, abs=2e-6)
+    assert len(index.top(terms, weights, 10, np.array([7]), want[0] * 50)[0]) == 0
