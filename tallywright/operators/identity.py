@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.exprs import _col
+from ..runtime import durable
 
 
 def scan_cells(cells: DataFrame, *attrs: str) -> DataFrame:
@@ -50,12 +51,14 @@ def lookup_batch(
 
     ``keep_missing=False`` returns the found rows only. The table is the probed side of a semi join: a small
     batch is broadcast, so the table does not move, and with a large one a key that holds a third of
-    the table can be split. An outer join from the keys would allow neither.
+    the table can be split. An outer join from the keys would allow neither. With ``keep_missing`` the rows found are
+    stored first: what is missing is told from them, so the table is scanned once.
     """
     wanted = keys.select(key).distinct()
     found = table.select(key, *cols).join(wanted, key, "left_semi")
     if not keep_missing:
         return found
+    found = durable(found)
     types = {f.name: f.dataType for f in table.schema.fields}
     missing = wanted.join(found.select(key).distinct(), key, "left_anti")
     fill = {c: (defaults or {}).get(c) for c in cols}

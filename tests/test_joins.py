@@ -79,6 +79,8 @@ def test_lookups(spark):
     table = spark.createDataFrame([("a", "n1", ["p", "q"]), ("b", "n2", ["r"]), ("a", "n3", ["q"])], "id string, name string, tags array<string>")
     assert _rows(identity.lookup_batch(keys, table, "id", ["name"], {"name": "-"})) == [("a", "n1"), ("a", "n3"), ("z", "-")]
     assert _rows(identity.lookup_batch(keys, table, "id", ["name"], keep_missing=False)) == [("a", "n1"), ("a", "n3")]
+    plan = identity.lookup_batch(keys, table, "id", ["name"])._jdf.queryExecution().optimizedPlan().toString()
+    assert "LeftSemi" not in plan and "LeftAnti" in plan  # the table was met once, before; what is missing comes from its rows
     got = {(r.id, r.value) for r in identity.collect_lookup(keys, table, "id", "tags").collect()}
     assert got == {("a", "p"), ("a", "q"), ("z", None)}
 
