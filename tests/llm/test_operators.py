@@ -381,6 +381,29 @@ def test_toxicity(spark):
     assert all(r.score == 0 for r in toxicity.toxicity(fx.frame(spark, data), label.limit(0)).collect())
 
 
+def test_toxic_words_of_few_bytes_and_word_starts():
+    import random
+
+    rng = random.Random(7)
+    syllables = ["bra", "ko", "lin", "tu", "ves", "ma", "dro", "pel", "si", "gan", "rof", "ute"]
+    word = lambda: "".join(rng.choices(syllables, k=rng.randint(1, 4)))
+    ordinary = [" ".join(word() for _ in range(120)) for _ in range(600)]
+    toxic = [" ".join([*(word() for _ in range(60)), rng.choice(["scum", "dolt", "kolin" + word()]), word(), "dolt"]) for _ in range(150)]
+    model = toxicity.trained(toxic[:100], ordinary[:400])
+    both = model.compressors()
+    score = lambda texts: model.score(toxicity.features([model.gains(both, t) for t in texts]))
+    assert (score(toxic[100:]) >= 0.5).mean() >= 0.9
+    assert (score(ordinary[400:]) >= 0.5).mean() <= 0.05
+
+
+def test_sampled_stretches_of_a_long_text(spark, monkeypatch):
+    monkeypatch.setattr(toxicity, "FIT_CHARS", 64)
+    rows = spark.createDataFrame([("".join(f"{i:04d}" for i in range(100)),), ("short",), ("",)], "text string")
+    long, short, empty = (r.t for r in rows.select(toxicity._spread(toxicity.F.col("text")).alias("t")).collect())
+    assert (short, empty) == ("short", "") and long.startswith("0000") and long.endswith("0099")
+    assert len(long.split()) == toxicity.STRETCHES and len(long) == 64 + toxicity.STRETCHES - 1
+
+
 def test_toxicity_learns_from_all_sampled_texts(spark, monkeypatch):
     seen = []
     monkeypatch.setattr(toxicity.zstandard, "train_dictionary", lambda size, samples: seen.extend(samples) or toxicity.zstandard.ZstdCompressionDict(b"x" * 64))
