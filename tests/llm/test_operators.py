@@ -336,6 +336,25 @@ def test_licenses_over_lines_and_inside(spark):
     assert got == {p: k for p, _, k in files}
 
 
+def test_sister_licenses(spark):
+    texts = {
+        "GPL-2.0": "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public\nLicense as published by the Free Software Foundation; either version 2 of the License, or\n(at your option) any later version.",
+        "GPL-3.0": "This work is licensed under the GNU General Public License, version 3.",
+        "LGPL-2.1": "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General\nPublic License as published by the Free Software Foundation; either version 2.1 of the License.",
+        "AGPL-3.0": "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General\nPublic License, version 3, as published by the Free Software Foundation",
+        "CC-BY-4.0": "Licensed under CC BY 4.0.",
+        "CC-BY-SA-4.0": "Licensed under CC BY-SA 4.0.",
+        "CC-BY-ND-4.0": "Licensed under CC BY-ND 4.0.",
+        "CC-BY-NC-4.0": "Licensed under CC BY-NC 4.0.",
+        "CC-BY-NC-SA-4.0": "Licensed under CC BY-NC-SA 4.0.",
+        "CC-BY-NC-ND-4.0": "Licensed under CC BY-NC-ND 4.0.",
+    }
+    plain = [(f"p/{i}.txt", f"a line about nothing in particular, number {i}") for i in range(60)]
+    got = licenses.scanned(spark.createDataFrame([(f"f/{n}.c", t) for n, t in texts.items()] + plain, "path string, text string")).collect()
+    assert {r.path: r.own_license for r in got if r.path.startswith("f/")} == {f"f/{n}.c": n for n in texts}
+    assert all(r.license is None for r in got if r.path.startswith("p/"))
+
+
 def test_urls(spark):
     cases = [
         ("http://a.example.net/en/1", "allow", "example.net/en/"), ("https://EXAMPLE.net/de/1?x", "block", "net/"), ("x://example.net", "allow", None),
