@@ -13,10 +13,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.exprs import pct_of
-from ..runtime import compute_once
+from ..runtime import compute_once, durable, small_side
+from .rank import global_rank
 from .rules import drop_blank_normalised
 
-#: Lists that fit the bits of one long.
+#: Lists that fit the bits of one long; more take several longs, merged on the map side as well.
 MASK_LISTS = 63
 
 
@@ -49,9 +50,35 @@ def _asked(lists: DataFrame, col: str, given: Sequence[str] | None) -> DataFrame
     return drop_blank_normalised(named, "value")
 
 
-def _in_order(members: Column, given: Sequence[str] | None) -> Column:
-    """A set in the order given, or by name."""
-    return F.array_sort(members) if given is None else F.filter(F.array(*[F.lit(n) for n in given]), lambda x: F.array_contains(members, x))
+def _places(lists: DataFrame, col: str, given: Sequence[str] | None) -> tuple[DataFrame, Column, int]:
+    """Lists with their numbers (``name, at``, in the order given or by name), all names as one array, and how many there are."""
+    if given is not None:
+        names = F.array(*[F.lit(n) for n in dict.fromkeys(given)])
+        return lists.sparkSession.range(1).select(F.posexplode(names).alias("at", "name")), names, len(set(given))
+    found = lists.where(F.col(col).isNotNull()).select(F.col(col).alias("name")).distinct()
+    places = durable(global_rank(found, [F.asc("name")], out="at").select("name", (F.col("at") - 1).alias("at")))
+    pairs = F.array_sort(F.collect_list(F.struct("at", "name")))
+    return places, places.agg(F.transform(pairs, lambda p: p["name"]).alias("names")).scalar(), places.count()
+
+
+def _words(rows: DataFrame, col: str, places: DataFrame, names: Sequence[str]) -> DataFrame:
+    """``value`` and the bit of its row's list in one of the longs ``names``, 0 in the others."""
+    bit = F.expr(f"shiftleft(1L, cast(at % {MASK_LISTS} AS int))")
+    word = F.floor(F.col("at") / MASK_LISTS)
+    numbered = rows.join(small_side(places), F.col(col) == F.col("name"))
+    return numbered.select("value", *[F.when(word == k, bit).otherwise(F.lit(0).cast("bigint")).alias(n) for k, n in enumerate(names)])
+
+
+def _word_names(prefix: str, lists: int) -> list[str]:
+    return [f"{prefix}{k}" for k in range(max(1, -(-lists // MASK_LISTS)))]
+
+
+def _set_of(words: Sequence[str], names: Column) -> Column:
+    """The names whose bits are set, in order."""
+    longs = F.array(*[F.col(w) for w in words])
+    long = lambda i: F.element_at(longs, (F.floor(i / MASK_LISTS) + 1).cast("int"))
+    held = lambda i: F.call_function("shiftright", long(i), (i % MASK_LISTS).cast("int")).bitwiseAND(F.lit(1).cast("bigint")) == 1
+    return F.array_compact(F.transform(names, lambda n, i: F.when(held(i), n)))
 
 
 def combinations(lists: DataFrame, names: Sequence[str] | None = None) -> DataFrame:
@@ -62,8 +89,12 @@ def combinations(lists: DataFrame, names: Sequence[str] | None = None) -> DataFr
         masks = clean.groupBy("value").agg(F.bit_or(_bit("list_name", known)).alias("mask"))
         counted = masks.groupBy("mask").agg(F.count(F.lit(1)).alias("n"))
         return compute_once(counted, _unpack(F.col("mask"), known).alias("members"), "n")
-    sets = clean.groupBy("value").agg(_in_order(F.collect_set("list_name"), names).alias("members"))
-    return sets.groupBy("members").agg(F.count(F.lit(1)).alias("n"))
+    places, named, many = _places(lists, "list_name", names)
+    words = _word_names("m", many)
+    masks = _words(clean, "list_name", places, words).groupBy("value").agg(*[F.bit_or(w).alias(w) for w in words])
+    counted = masks.groupBy(*words).agg(F.count(F.lit(1)).alias("n"))
+    counted = compute_once(counted, *words, named.alias("names"), "n")
+    return compute_once(counted, _set_of(words, F.col("names")).alias("members"), "n")
 
 
 def _name_rows(lists: DataFrame, col: str, names: Sequence[str] | None, out: str) -> DataFrame:
@@ -131,13 +162,16 @@ def coverage(
         counted = per_value.groupBy("b", "r").agg(F.count(F.lit(1)).alias("n"))
         base_set, rung_set = _unpack(F.col("b"), known_base), _unpack(F.col("r"), known_rungs)
         return compute_once(counted, base_set.alias("base_set"), rung_set.alias("rung_set"), "n")
-    both = b.select("value", "base_name", F.lit(None).cast("string").alias("rung_name")).unionByName(
-        r.select("value", F.lit(None).cast("string").alias("base_name"), "rung_name")
-    )
-    per_value = both.groupBy("value").agg(
-        _in_order(F.collect_set("base_name"), base_names).alias("base_set"), _in_order(F.collect_set("rung_name"), rungs).alias("rung_set")
-    )
-    return per_value.groupBy("base_set", "rung_set").agg(F.count(F.lit(1)).alias("n"))
+    base_places, base_named, many = _places(base, "base_name", base_names)
+    of_base = _word_names("b", many)
+    rung_places, rung_named, many = _places(ladder, "rung_name", rungs)
+    of_rungs = _word_names("r", many)
+    both = _words(b, "base_name", base_places, of_base).unionByName(_words(r, "rung_name", rung_places, of_rungs), allowMissingColumns=True)
+    per_value = both.groupBy("value").agg(*[F.coalesce(F.bit_or(w), F.lit(0).cast("bigint")).alias(w) for w in of_base + of_rungs])
+    counted = per_value.groupBy(*of_base, *of_rungs).agg(F.count(F.lit(1)).alias("n"))
+    counted = compute_once(counted, *of_base, *of_rungs, base_named.alias("base_names"), rung_named.alias("rungs"), "n")
+    base_set, rung_set = _set_of(of_base, F.col("base_names")), _set_of(of_rungs, F.col("rungs"))
+    return compute_once(counted, base_set.alias("base_set"), rung_set.alias("rung_set"), "n")
 
 
 def ladder_counts(

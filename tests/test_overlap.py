@@ -27,6 +27,23 @@ def test_more_lists_than_bits(spark):
     assert all(n == min(int(a[4:]), int(b[4:])) + 1 for (a, b), n in found.items())
 
 
+def test_sets_of_many_lists(spark):
+    names = [f"list{i:03d}" for i in range(130)]
+    data = {n: [str(v) for v in range(400) if (v * 7 + i) % (i + 2) == 0] for i, n in enumerate(names)}
+    brute = {}
+    for v in map(str, range(400)):
+        members = tuple(n for n in names if v in set(data[n]))
+        if members:
+            brute[members] = brute.get(members, 0) + 1
+    lists = _lists(spark, data)
+    assert {tuple(r.members): r.n for r in overlap.combinations(lists).collect()} == brute
+    turned = {tuple(reversed(m)): n for m, n in brute.items()}
+    assert {tuple(r.members): r.n for r in overlap.combinations(lists, names[::-1]).collect()} == turned
+    plan = overlap.combinations(lists, names)._jdf.queryExecution().optimizedPlan().toString()
+    assert "collect_set" not in plan and "bit_or" in plan
+    assert overlap.combinations(lists.limit(0), names).count() == 0
+
+
 def test_ladder_order_is_the_given_one(spark):
     base = spark.createDataFrame([("b", "1"), ("b", "2"), ("b", "3"), ("b", "3")], "base_name string, value string")
     ladder = spark.createDataFrame([("x", "1"), ("x", "2"), ("y", "2"), ("y", "9")], "rung_name string, value string")
