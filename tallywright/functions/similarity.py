@@ -61,13 +61,17 @@ def jaro_winkler(first: list[str], second: list[str]) -> np.ndarray:
     return np.where(jaro > BOOST_ABOVE, jaro + prefix * PREFIX_SCALE * (1.0 - jaro), jaro)
 
 
-@F.pandas_udf(T.DoubleType())
-def jaro_winkler_col(a: pd.Series, b: pd.Series) -> pd.Series:
-    x, y = a.fillna("").to_numpy(dtype=object), b.fillna("").to_numpy(dtype=object)
+def similarities(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Rounded similarity of each pair of texts."""
     # pairs of like length share a chunk, so one long text does not widen the others
     order = np.argsort(np.fromiter((max(len(p), len(q)) for p, q in zip(x, y)), np.int64, len(x)), kind="stable")
     out = np.zeros(len(x))
     for start in range(0, len(x), _CHUNK):
         part = order[start : start + _CHUNK]
         out[part] = jaro_winkler(list(x[part]), list(y[part]))
-    return pd.Series(np.round(out, 6))
+    return np.round(out, 6)
+
+
+@F.pandas_udf(T.DoubleType())
+def jaro_winkler_col(a: pd.Series, b: pd.Series) -> pd.Series:
+    return pd.Series(similarities(a.fillna("").to_numpy(dtype=object), b.fillna("").to_numpy(dtype=object)))

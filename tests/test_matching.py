@@ -1,4 +1,8 @@
+import json
 import random
+import subprocess
+import sys
+from pathlib import Path
 
 import duckdb
 import numpy as np
@@ -74,3 +78,38 @@ def test_match_rules(spark):
     handles = spark.createDataFrame([("thebigcat", None, "x"), ("other", "The Big Cät", "y")], "handle string, name string, category string")
     got = {(r.title, r.handle, r.name, r.squish) for r in matching.fuzzy_match(titles, handles).collect()}
     assert got == {("The Big Cat", "thebigcat", "Not Defined", True), ("The Big Cat", "other", "The Big Ct", False)}
+
+
+def test_copies_of_a_text(tmp_path):
+    """However many texts share a character, a text goes to few places: few records a text are shuffled."""
+    code = f"""
+import sys; sys.path.insert(0, {str(Path(__file__).resolve().parents[1])!r})
+from pyspark.sql import SparkSession, functions as F
+spark = SparkSession.builder.master("local[2]").config("spark.ui.enabled", "false").config("spark.sql.shuffle.partitions", "4").config(
+    "spark.eventLog.enabled", "true").config("spark.eventLog.dir", {tmp_path.as_uri()!r}).config("spark.eventLog.compress", "false").config(
+    "spark.eventLog.rolling.enabled", "false").getOrCreate()
+from tallywright.operators import matching
+left, right = (spark.range(n).select(F.format_string(f, "id").alias("text")) for n, f in ((50, "supplier#%09d"), (5000, "customer#%09d")))
+print("rows", matching.similar_texts(left, right).count())
+spark.stop()
+"""
+    done = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, timeout=300, check=False)
+    assert "rows" in done.stdout, done.stderr[-2000:]
+    records = 0
+    for line in next(x for x in tmp_path.iterdir() if x.is_file()).read_text().splitlines():
+        event = json.loads(line)
+        if event["Event"] == "SparkListenerTaskEnd":
+            records += event["Task Metrics"]["Shuffle Write Metrics"]["Shuffle Records Written"]
+    assert 5050 <= records < 8 * 5050
+
+
+@pytest.mark.parametrize("threshold", [0.6, 0.8])
+def test_anagrams_and_long_texts(spark, threshold):
+    """Groups of many texts, crossed characters and texts of any length are bounded without losing a pair."""
+    pick = random.Random(9)
+    a = ["supplier#" + "".join(pick.sample("00012345", 8)) for _ in range(120)] + ["é" * 90, "x" * 70 + "ab", "a一b", "ab", "\U0001f600a"]
+    b = ["customer#" + "".join(pick.sample("00012345", 8)) for _ in range(120)] + ["é" * 80 + "x", "x" * 69 + "ba", "b一a", "ba", "\U0001f600b"]
+    left = spark.createDataFrame([(x,) for x in [*a, None, ""]], "text string")
+    right = spark.createDataFrame([(x,) for x in [*b, None, ""]], "text string")
+    got = [(r.a, r.b, round(r.similarity, 6)) for r in matching.similar_texts(left, right, threshold).collect()]
+    assert sorted(got) == sorted((x, y, round(s, 6)) for x, y, s in _all_pairs(sorted(set(a)), sorted(set(b)), threshold))
