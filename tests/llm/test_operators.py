@@ -10,6 +10,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+from tallywright import runtime
 from tallywright.llm import common, licenses, mixing, near, packing, quality, search, suffix, tokens, toxicity, urls
 
 DATA = fx.rows()
@@ -445,6 +446,27 @@ def test_no_rows(spark, none):
     assert [df.count() for df in frames] == [0] * len(frames)
 
 
+def test_search_batches(spark, monkeypatch):
+    """A shard reaches its worker in batches of few bytes, and the setting is as before afterwards."""
+    monkeypatch.setattr(runtime, "BATCH_BYTES", 20_000)
+    plain = search._answered
+
+    def checked(k, mean):
+        def rows(left, right):
+            assert left.num_rows < 200 or max(map(len, left["terms"].chunks)) < left.num_rows / 2, "all in one batch"
+            return plain(k, mean)(left, right)
+
+        return rows
+
+    monkeypatch.setattr(search, "_answered", checked)
+    texts = [(i, f"common word{i} " + " ".join(f"w{j}" for j in range(i % 40))) for i in range(400)] + [(500, ""), (501, None)]
+    docs = spark.createDataFrame(texts, "doc_id long, text string").coalesce(1)
+    before = spark.conf.get(runtime.BATCH_LIMIT, None)
+    got = search.searched(docs, docs.where("doc_id < 3 OR doc_id >= 500"), k=5)
+    assert spark.conf.get(runtime.BATCH_LIMIT, None) == before
+    assert {q: n for q, n in got.groupBy("query_id").count().collect()} == {0: 5, 1: 5, 2: 5}
+
+
 def test_search_waves():
     assert search.waves(1, 1) == [(0, 1)]
     assert search.waves(6, 1) == [(0, 1), (1, 2), (2, 4), (4, 6)]
