@@ -1,11 +1,14 @@
 """Each operator against a plain version of its rule, on a table with every awkward row, and on no rows."""
 
+import contextlib
+import io
 import math
 from collections import Counter, defaultdict
 
 import fixtures as fx
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -496,3 +499,59 @@ def test_least_score_loses_nothing(monkeypatch, lookups):
         _, got = index.top(terms, weights, 10, np.array([7]), least)
         assert np.sort(got)[::-1][:10] == pytest.approx(want, abs=2e-6)
     assert len(index.top(terms, weights, 10, np.array([7]), want[0] * 50)[0]) == 0
+
+
+@pytest.mark.parametrize("sizes", [{}, {"LOOKUPS": 30, "TOGETHER": 3}, {"DENSE": 0.0, "COLUMNS": 5}, {"DENSE": 9.0}])
+def test_queries_scored_together(monkeypatch, sizes):
+    """Queries of a block share one pass over a shard; copies, ties and a query's own rows are as in plain BM25."""
+    for name, value in ({"BLOCK": 16} | sizes).items():
+        monkeypatch.setattr(search, name, value)
+    rng = np.random.default_rng(5)
+    data = [(i, " ".join(f"w{w}" for w in np.minimum(rng.zipf(1.4, 12), 60))) for i in range(90)]
+    data += [(i, "same words here w1") for i in range(90, 130)] + [(95, "same words here w1"), (400, ""), (401, None)]
+    queries = [r for r in data[:130] if r[0] % 3 == 0]
+    frequency = Counter(w for _, t in data for w in set((t or "").split()))
+    bags = [search.bag(t) for _, t in data]
+    words = [int(c.sum()) for _, c in bags]
+    code = {w: int(search.bag(w)[0][0]) for w in frequency}
+    docs = pa.table({
+        "doc_id": [d for d, _ in data], "words": words,
+        "terms": [t.tobytes() for t, _ in bags], "counts": [c.astype("<u4").tobytes() for _, c in bags],
+    })
+    packed = []
+    for q, t in queries:
+        w = {code[w]: n * math.log1p((len(data) - frequency[w] + 0.5) / (frequency[w] + 0.5)) for w, n in Counter(t.split()).items()}
+        packed.append((q, np.array(sorted(w), np.uint64).tobytes(), np.array([w[c] for c in sorted(w)], float).tobytes(), 0.0))
+    right = pa.table(dict(zip(("query_id", "terms", "weights", "least"), map(list, zip(*packed)), strict=True)))
+
+    def alone(*_):
+        raise AssertionError("one query at a time")
+
+    monkeypatch.setattr(search.Index, "top", alone)
+    got = defaultdict(list)
+    for r in search._answered(5, sum(words) / len(words))(docs, right).to_pylist():
+        got[r["query_id"]].append((r["doc_id"], r["score"]))
+    want = bm25(data, queries, 5)
+    assert {q: [d for d, _ in v] for q, v in got.items()} == {q: [d for d, _ in v] for q, v in want.items()}
+    for q, v in got.items():
+        assert [s for _, s in v] == pytest.approx([s for _, s in want[q]], abs=2e-6)
+
+
+def test_search_moves_texts_once(spark, monkeypatch):
+    """Texts are not repeated for blocks of queries, queries not for shards."""
+    monkeypatch.setattr(search, "SHARD", 30)
+    monkeypatch.setattr(search, "QUERIES", 4)
+    plans, plain = [], search.durable
+
+    def noted(df):
+        told = io.StringIO()
+        with contextlib.redirect_stdout(told):
+            df.explain()
+        plans.append(told.getvalue())
+        return plain(df)
+
+    monkeypatch.setattr(search, "durable", noted)
+    docs = spark.createDataFrame([(i, f"common word{i % 7} other{i % 11}") for i in range(120)], "doc_id long, text string")
+    got = search.searched(docs, docs.where("doc_id % 10 = 0"), k=3)
+    assert {q: n for q, n in got.groupBy("query_id").count().collect()} == dict.fromkeys(range(0, 120, 10), 3)
+    assert not [p for p in plans if "explode" in p or "CoGroup" in p]
